@@ -16,11 +16,12 @@ empty string; the result is the same when applied again.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,16 +76,19 @@ def _unit(ch: str) -> str:
 
 
 class Transducer:
-    """Longest-match rewriting: a table from clusters to forms, run by one compiled pattern.
+    """Longest-match rewriting: a table from clusters to forms, run over stretches of odd characters.
 
-    The pattern finds exactly the stretches that may change: a base with everything that attaches to
-    it (marks and undrawn characters between them), or single characters of the table. Clusters met
-    for the first time are computed by the same rule as the table and kept.
+    Printable ASCII, tabs and line feeds stand for themselves, so only the stretches of other
+    characters, with the base before them where marks attach to it, can change. A stretch is cut into
+    its longest clusters (a base with its marks and the undrawn characters between) and each cluster
+    is looked up; clusters and stretches met for the first time are computed by the rule of the table.
     """
 
+    #: Stretches and clusters kept per process; beyond that they are computed again.
+    KEPT = 100_000
+
     def __init__(self) -> None:
         self.table: dict[str, str] = {}
-        marks = {chr(c) for c in range(0x300, 0x370)}
         for c in [*range(0x0, 0x3400), *range(0xA640, 0xAC00), *range(0xF900, 0x10000), *range(0x1D100, 0x1D200), *range(0xE0000, 0xE0200)]:
             ch = chr(c)
             if 0xD800 <= c < 0xE000:
@@ -93,16 +97,13 @@ class Transducer:
             if form != ch:
                 self.table[ch] = form
         for base in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B)]):
-            for mark in marks:
+            for mark in map(chr, range(0x300, 0x370)):
                 pair = base + mark
                 if (form := unicodedata.normalize("NFC", pair)) != pair:
                     self.table[pair] = form
-        self.table["\r\n"] = "\n"
         self.check()
-        singles = "".join(regex.escape(k) for k in self.table if len(k) == 1)
-        loose = "".join(regex.escape(chr(c)) for c in range(0x110000) if c < 0xD800 or c >= 0xE000 if (c < 0x3000 or 0xFE00 <= c < 0xFF00 or c >= 0xE0000) and c < 0xE0200 and _invisible(chr(c)))
-        self.pattern = regex.compile(rf"\r\n|[^\r\n{loose}\p{{M}}](?:[{loose}]*[\p{{M}}ﾞﾟ])+|[{singles}]|[가-힣]\p{{M}}+")
-        self.plain = regex.compile(r"[\t\n\x20-\x7e]*")
+        self.odd = re.compile(r"[^\t\n\x20-\x7e]+")
+        self.stretches: dict[str, str] = {}
 
     def check(self) -> None:
         """Raise unless the mapping is closed, stable and keeps different looks apart."""
@@ -121,19 +122,53 @@ class Transducer:
                 raise ValueError(f"{source!r} and {form!r} differ in case or chain")
             twins[source] = form
 
-    def _cluster(self, found: regex.Match) -> str:
-        cluster = found.group()
-        form = self.table.get(cluster)
-        if form is None:
-            form = unicodedata.normalize("NFC", "".join(_unit(c) for c in cluster))
-            if len(self.table) < 200_000:
-                self.table[cluster] = form
-        return form
+    def _stretch(self, text: str) -> str:
+        """Form of a stretch, cluster by cluster."""
+        out: list[str] = []
+        start, n = 0, len(text)
+        while start < n:
+            end = start + 1
+            while end < n and _attaches(text[end]):
+                end += 1
+            cluster = text[start:end]
+            form = self.table.get(cluster)
+            if form is None:
+                form = unicodedata.normalize("NFC", "".join(_unit(c) for c in cluster))
+                if len(self.table) < self.KEPT:
+                    self.table[cluster] = form
+            out.append(form)
+            start = end
+        # a first cluster of undrawn characters leaves its marks to nothing; joined forms may still meet
+        return unicodedata.normalize("NFC", "".join(out))
 
     def __call__(self, text: str) -> str:
-        if self.plain.fullmatch(text):
+        out, done = [], 0
+        for m in self.odd.finditer(text):
+            a, b = m.span()
+            stretch = m.group()
+            if stretch[-1] == "\r" and text.startswith("\n", b):
+                stretch = stretch[:-1]
+            if a > done and stretch and _attaches(stretch[0]) and text[a - 1] not in "\t\n":
+                a -= 1
+                stretch = text[a] + stretch
+            form = self.stretches.get(stretch)
+            if form is None:
+                form = self._stretch(stretch)
+                if len(self.stretches) < self.KEPT:
+                    self.stretches[stretch] = form
+            out.append(text[done:a])
+            out.append(form)
+            done = b
+        if not out:
             return text
-        return self.pattern.sub(self._cluster, text)
+        out.append(text[done:])
+        return "".join(out)
+
+
+@lru_cache(maxsize=65_536)
+def _attaches(ch: str) -> bool:
+    """Whether a character belongs to the cluster before it."""
+    return unicodedata.category(ch)[0] == "M" or ch in "ﾞﾟ" or (ch > "\x7e" and ch not in SPACES and _invisible(ch)) or (ch < " " and _invisible(ch))
 
 
 _ONE: list[Transducer] = []
@@ -157,6 +192,10 @@ def _canonical_udf(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([None if t is None else one(t) for t in texts], dtype=object)
 
 
+# never evaluated a second time below a filter on its result
+_canonical_udf = _canonical_udf.asNondeterministic()
+
+
 def same_look(text: Column) -> Column:
     """The one form of a text column. Plain text stays in the JVM; only other text goes to Python."""
     return F.coalesce(_canonical_udf(F.when(text.rlike(r"[^\t\n\x20-\x7e]"), text)), text)
