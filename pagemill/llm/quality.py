@@ -1,7 +1,7 @@
 """Per-document text statistics, and kinds of text by learned rules (problem 5).
 
 The statistics are Spark expressions over the whole text. An ordered rule list is induced from
-labelled texts by incremental reduced-error pruning: for each kind but the last, rarest first, rules
+labelled texts by incremental reduced-error pruning: for each kind but the last, in the given order, rules
 are grown on two thirds of the labelled rows by information gain, pruned on the other third, and kept
 while they are right more often than wrong there. The list is exported as one SQL ``CASE`` expression
 with the learned thresholds, which Spark applies natively to every text.
@@ -24,18 +24,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Frequent function words of English.
+# Frequent function words of English, without "of" and "one", which names of things are full of.
 COMMON_WORDS = (
     "a", "after", "an", "and", "any", "are", "as", "at", "be", "before", "but", "by", "can", "each", "every", "for", "from", "has", "have", "if", "in", "into", "is", "it", "its", "may",
-    "more", "must", "never", "no", "not", "of", "on", "one", "only", "or", "than", "that", "the", "their", "then", "they", "this", "to", "too", "unless", "until", "when", "which", "who", "will", "with", "without", "you", "your",
+    "more", "must", "never", "no", "not", "on", "only", "or", "than", "that", "the", "their", "then", "they", "this", "to", "too", "unless", "until", "when", "which", "who", "will", "with", "without", "you", "your",
 )
 
 #: Statistics of a text; the first five are those of the problem, the others tell its shape.
-STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "separators_per_word", "digit_ratio", "vowel_ratio", "short_word_ratio", "longest_word", "repeat_ratio", "commas_per_word")
-KINDS = ("junk", "table", "list", "prose")
+STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "separators_per_word", "digit_ratio", "vowel_ratio", "short_word_ratio", "word_like", "value_ratio", "leading_capitals", "commas_per_word")
+#: Statistics the rules may use: those that don't depend on the length of a text or of its words. Of
+#: two that tell as much the earlier one is taken.
+RULE_STATISTICS = ("common_words", "word_like", "marked_lines", "value_ratio", "leading_capitals", "commas_per_word", "separators_per_word", "symbol_ratio", "digit_ratio", "words_per_line", "short_word_ratio", "punctuated_lines")
+KINDS = ("table", "junk", "list", "prose")
 
 _COMMON = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(COMMON_WORDS) + r")(?![\p{L}\p{N}])"
-_MARK = r"(?m)^[^\S\n]*(?:[-*+•▪◦□‣●○–—][^\S\n]+\S|\(?(?:\d{1,3}|[A-Za-z])[.)][^\S\n]+\S)"
+_MARK = r"(?m)^[^\S\n]*(?:[-*+•▪◦□‣●○–—][^\S\n]+(?!\d+[^\S\n]+-)\S|\(?(?:\d{1,3}[.)][^\S\n]+\S|[A-Za-z][.)][^\S\n]+(?!\d)\S)|\p{Lu}\p{Ll}+ \d{1,3}[:)][^\S\n]+\S)"
+#: A printed word: ASCII letters with a vowel, and the punctuation around it.
+_WORD_LIKE = r"(?<!\S)[\"'“‘(\[]*(?=[A-Za-z'’-]{3,18}(?![A-Za-z'’-]))(?![A-Za-z]*([A-Za-z])\1\1)[A-Za-z'’-]*[aeiouyAEIOUY][A-Za-z'’-]*[.,;:!?…\"'”’)\]]*(?!\S)"
+#: A value of a table cell: number, signed number, range, ordinal, dice, dash, yes, no, unit.
+_VALUE = r"(?<!\S)(?:[+-]?\d{1,3}(?:st|nd|rd|th|[–-]\d{1,3})?|\d{0,2}d\d{1,3}(?:\+\d+)?|—|yes|no|sp)(?!\S)"
+#: A running head set with spaces between its letters.
+_SPACED = r"(?m)^[^\S\n]*(?:\d{1,4}[^\S\n]+)?(?:\p{L}[^\S\n]+){5,}\p{L}(?:[^\S\n]*\|?[^\S\n]*\d{1,4})?[^\S\n]*$\n?"
+_LEAD = r"\A\s*((?:\p{Lu}[\p{Ll}\p{M}]+(?:[^\S\n]*\([^)\n]*\))?[\s|.—/-]+)*)"
 _CELL = r"\t|\S[^\S\n]*\|[^\S\n]*\S|\S {3,}\S|\.{3,}|[^\S\n]/[^\S\n]|(?<!\S)—(?=[^\S\n]*(?:\n|\z|\d|\+))"
 
 
@@ -43,7 +53,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a column for each name in ``STATISTICS``."""
     if clash := set(STATISTICS) & set(df.columns):
         raise ValueError(f"columns {sorted(clash)} clash with added ones")
-    body = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<<<HEADING:.*?>>>\s*", "")
+    body = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<<<HEADING:.*?>>>\s*", ""), _SPACED, "")
     n = lambda pattern: F.regexp_count(F.col("_body"), F.lit(pattern)).cast("double")
     counted = df.withColumn("_body", body).withColumns({
         "_lines": n(r"(?m)^.*\S.*$"),
@@ -58,9 +68,10 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         "_common": n(_COMMON),
         "_marks": n(_MARK),
         "_cells": n(_CELL),
-        "_repeats": n(r"(\S)\1{4,}"),
+        "_word_like": n(_WORD_LIKE),
+        "_values": n(_VALUE),
+        "_lead": F.regexp_count(F.regexp_extract("_body", _LEAD, 1), F.lit(r"\p{L}{2,}")).cast("double"),
         "_commas": n(r"[,;]"),
-        "_longest": F.array_max(F.transform(F.split("_body", r"\s+"), F.char_length)).cast("double"),
     })
     there = F.col("_words") > 0
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
@@ -76,8 +87,9 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         "digit_ratio": per("_digits", "_ink"),
         "vowel_ratio": F.when(F.col("_ink") > 0, F.col("_vowels") / F.greatest(F.col("_alnum") - F.col("_digits"), F.lit(1.0))),
         "short_word_ratio": per("_short", "_tokens"),
-        "longest_word": F.when(F.col("_ink") > 0, F.col("_longest")),
-        "repeat_ratio": per("_repeats", "_lines"),
+        "word_like": per("_word_like", "_tokens"),
+        "value_ratio": per("_values", "_tokens"),
+        "leading_capitals": F.when(F.col("_ink") > 0, F.col("_lead")),
         "commas_per_word": F.when(F.col("_tokens") > 0, F.col("_commas") / F.col("_tokens")),
     }
     return counted.select(*df.columns, *(c.alias(k) for k, c in out.items()))
@@ -130,9 +142,11 @@ def _grow(x: dict[str, np.ndarray], y: np.ndarray, kind: str, features: tuple[st
                 nn = (at - cum_p[at]) if low else n - (at - cum_p[at])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     g = np.where(pp > 0, pp * (np.log2(pp / (pp + nn)) - base), 0)
-                i = int(np.argmax(g)) if len(g) else -1
-                if i >= 0 and g[i] > gain:
-                    best, gain = Condition(f, low, float(cuts[f][i])), g[i]
+                if not len(g) or g.max() <= gain:
+                    continue
+                # of equally good thresholds the one in the middle of their range
+                tied = cuts[f][g >= g.max() - 1e-9]
+                best, gain = Condition(f, low, float((tied[0] + tied[-1]) / 2)), g.max()
         if best is None:
             break
         conditions.append(best)
@@ -153,7 +167,7 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], y: np.ndarray) -> tuple[Rule, f
     return best, worth
 
 
-def induce(rows: pd.DataFrame, label: str = "kind", kinds: tuple[str, ...] = KINDS, features: tuple[str, ...] = STATISTICS, n_cuts: int = 96) -> list[Rule]:
+def induce(rows: pd.DataFrame, label: str = "kind", kinds: tuple[str, ...] = KINDS, features: tuple[str, ...] = RULE_STATISTICS, n_cuts: int = 96) -> list[Rule]:
     """Ordered rules for all kinds but the last, which is the default. The same rows give the same rules."""
     rows = rows[rows[label].isin(kinds)].dropna(subset=list(features)).reset_index(drop=True)
     rules: list[Rule] = []
@@ -210,7 +224,8 @@ def labelled_sample(labels: DataFrame, keys: list[str], max_labels: int = 20_000
 
 def learn(items: DataFrame, labels: DataFrame, keys: list[str], text: str = "text", max_labels: int = 20_000) -> list[Rule]:
     """Rules from the labelled items. ``items`` holds keys and text, labels keys and kind."""
+    # at most max_labels keys: small enough to send to every task, so no text is shuffled
     sample = labelled_sample(labels, keys, max_labels)
-    rows = statistics(items.select(*keys, text).join(sample, keys).dropDuplicates(keys), text).drop(text).toPandas()
+    rows = statistics(items.select(*keys, text).join(F.broadcast(sample), keys).dropDuplicates(keys), text).drop(text).toPandas()
     order = pd.util.hash_pandas_object(rows[keys].astype(str).agg("|".join, axis=1), index=False)
     return induce(rows.assign(_h=order.to_numpy()).sort_values("_h", kind="stable").reset_index(drop=True))

@@ -15,9 +15,19 @@ def items(spark, sf_dir):
     return blocks.unionByName(sections).where(r"text rlike '\\S'")
 
 
+def labels(spark, sf_dir):
+    """The labelled items, and with each the other items of its section, since all texts of one section are of one kind."""
+    given = table(spark, sf_dir, "kind_labels").select("book_id", "item_id", "kind")
+    part_of = table(spark, sf_dir, "sections").select("book_id", "section_id", F.explode("block_ids").alias("block_id")).where("section_id is not null and block_id is not null")
+    up = given.join(part_of.withColumnRenamed("block_id", "item_id"), ["book_id", "item_id"]).select("book_id", F.col("section_id").alias("item_id"), "kind")
+    sections = given.unionByName(up).distinct()
+    down = sections.join(part_of.withColumnRenamed("section_id", "item_id"), ["book_id", "item_id"]).select("book_id", F.col("block_id").alias("item_id"), "kind")
+    return sections.unionByName(down).distinct()
+
+
 def _kinds(spark, sf_dir):
     every = items(spark, sf_dir)
-    rules = quality.learn(every, table(spark, sf_dir, "kind_labels"), ["book_id", "item_id"])
+    rules = quality.learn(every, labels(spark, sf_dir), ["book_id", "item_id"])
     return quality.statistics(every).withColumn("kind", quality.kind_of(rules))
 
 
