@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +31,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[key]
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once, unless their PYTHONPATH has it."""
+    root = Path(__file__).resolve().parent.parent
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    _SHIPPED.add(app)
+    archive = Path(tempfile.mkdtemp(prefix="pagemill-")) / "pagemill.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted((root / "pagemill").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -40,4 +58,5 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
