@@ -1,6 +1,6 @@
 """Per-document text statistics, and kinds of text by learned rules (problem 5).
 
-The statistics are Spark expressions over the whole text. An ordered rule list is induced from
+The statistics are taken over the whole text with array operations on Arrow batches. An ordered rule list is induced from
 labelled texts by incremental reduced-error pruning: for each kind but the last, in the given order, rules
 are grown on two thirds of the labelled rows by information gain, pruned on the other third, and kept
 while they are right more often than wrong there. The list is exported as one SQL ``CASE`` expression
@@ -16,6 +16,9 @@ but the named ones are read.
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,72 +30,164 @@ from pyspark.sql import functions as F
 # Frequent function words of English, without "of" and "one", which names of things are full of.
 COMMON_WORDS = (
     "a", "after", "an", "and", "any", "are", "as", "at", "be", "before", "but", "by", "can", "each", "every", "for", "from", "has", "have", "if", "in", "into", "is", "it", "its", "may",
-    "more", "must", "never", "no", "not", "on", "only", "or", "than", "that", "the", "their", "then", "they", "this", "to", "too", "unless", "until", "when", "which", "who", "will", "with", "without", "you", "your",
+    "more", "must", "never", "not", "on", "only", "or", "than", "that", "the", "their", "then", "they", "this", "to", "too", "unless", "until", "when", "which", "who", "will", "with", "without", "you", "your",
 )
 
 #: Statistics of a text; the first five are those of the problem, the others tell its shape.
-STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "separators_per_word", "digit_ratio", "vowel_ratio", "short_word_ratio", "word_like", "value_ratio", "leading_capitals", "commas_per_word")
+STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "digit_ratio", "short_word_ratio", "word_like", "leading_capitals", "commas_per_word")
 #: Statistics the rules may use: those that don't depend on the length of a text or of its words. Of
 #: two that tell as much the earlier one is taken.
-RULE_STATISTICS = ("common_words", "word_like", "marked_lines", "value_ratio", "leading_capitals", "commas_per_word", "separators_per_word", "symbol_ratio", "digit_ratio", "words_per_line", "short_word_ratio", "punctuated_lines")
+RULE_STATISTICS = ("common_words", "word_like", "marked_lines", "leading_capitals", "commas_per_word", "symbol_ratio", "digit_ratio", "words_per_line", "short_word_ratio", "punctuated_lines")
 KINDS = ("table", "junk", "list", "prose")
 
-_COMMON = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(COMMON_WORDS) + r")(?![\p{L}\p{N}])"
-_MARK = r"(?m)^[^\S\n]*(?:[-*+•▪◦□‣●○–—][^\S\n]+(?!\d+[^\S\n]+-)\S|\(?(?:\d{1,3}[.)][^\S\n]+\S|[A-Za-z][.)][^\S\n]+(?!\d)\S)|\p{Lu}\p{Ll}+ \d{1,3}[:)][^\S\n]+\S)"
-#: A printed word: ASCII letters with a vowel, and the punctuation around it.
-_WORD_LIKE = r"(?<!\S)[\"'“‘(\[]*(?=[A-Za-z'’-]{3,18}(?![A-Za-z'’-]))(?![A-Za-z]*([A-Za-z])\1\1)[A-Za-z'’-]*[aeiouyAEIOUY][A-Za-z'’-]*[.,;:!?…\"'”’)\]]*(?!\S)"
-#: A value of a table cell: number, signed number, range, ordinal, dice, dash, yes, no, unit.
-_VALUE = r"(?<!\S)(?:[+-]?\d{1,3}(?:st|nd|rd|th|[–-]\d{1,3})?|\d{0,2}d\d{1,3}(?:\+\d+)?|—|yes|no|sp)(?!\S)"
+_HEADING = re.compile(r"<<<HEADING:.*?>>>\s*")
 #: A running head set with spaces between its letters.
-_SPACED = r"(?m)^[^\S\n]*(?:\d{1,4}[^\S\n]+)?(?:\p{L}[^\S\n]+){5,}\p{L}(?:[^\S\n]*\|?[^\S\n]*\d{1,4})?[^\S\n]*$\n?"
-_LEAD = r"\A\s*((?:\p{Lu}[\p{Ll}\p{M}]+(?:[^\S\n]*\([^)\n]*\))?[\s|.—/-]+)*)"
-_CELL = r"\t|\S[^\S\n]*\|[^\S\n]*\S|\S {3,}\S|\.{3,}|[^\S\n]/[^\S\n]|(?<!\S)—(?=[^\S\n]*(?:\n|\z|\d|\+))"
-
-
-def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with a column for each name in ``STATISTICS``."""
+_SPACED = re.compile(r"^[^\S\n]*(?:\d{1,4}[^\S\n]+)?(?:[^\W\d_][^\S\n]+){5,}[^\W\d_](?:[^\S\n]*\|?[^\S\n]*\d{1,4})?[^\S\n]*$\n?", re.M)
+_MARK = re.compile(r"^[^\S\n]*(?:[-*+•▪◦□‣●○–—][^\S\n]+(?!\d+[^\S\n]+-)\S|\(?(?:\d{1,3}[.)][^\S\n]+\S|[A-Za-z][.)][^\S\n]+(?!\d)\S)|[A-ZÀ-Þ][a-zß-ÿ]+ \d{1,3}[:)][^\S\n]+\S)", re.M)
+_LEAD = re.compile(r"\s*((?:[A-ZÀ-Þ][a-zß-ÿ\u0300-\u036f]+(?:[^\S\n]*\([^)\n]*\))?[\s|.—/-]+)*)")
+_LEAD_WORD = re.compile(r"[^\W\d_]{2,}")
+
+# classes of a code point, as bits
+_SPACE, _LETTER, _DIGIT, _VOWEL, _COMMA, _STOP, _CLOSE, _MARKED, _ASCII = (1 << i for i in range(9))
+
+
+def _classes() -> np.ndarray:
+    table = np.zeros(0x110000, np.uint16)
+    for c in range(0x110000):
+        if 0xD800 <= c < 0xE000 or (0x2FA20 <= c < 0xE0000) or c >= 0xE0200:
+            continue
+        ch = chr(c)
+        kind = unicodedata.category(ch)
+        if ch.isspace():
+            table[c] |= _SPACE
+        elif kind[0] == "L":
+            table[c] |= _LETTER | (_ASCII if c < 128 else 0)
+        elif kind[0] == "N":
+            table[c] |= _DIGIT
+        elif kind[0] == "M":
+            table[c] |= _MARKED
+    for chars, bit in (("aeiouyAEIOUY", _VOWEL), (",;", _COMMA), (".!?…", _STOP), ("\"'”’»)", _CLOSE)):
+        for ch in chars:
+            table[ord(ch)] |= bit
+    return table
+
+
+_TABLE: list[np.ndarray] = []
+
+
+def _packed(words: tuple[str, ...]) -> np.ndarray:
+    return np.sort(np.array([int.from_bytes(w.encode().ljust(8, b"\0"), "little") for w in words], np.uint64))
+
+
+_COMMON = _packed(COMMON_WORDS)
+_NAN = float("nan")
+
+
+def _body(text: str) -> str:
+    if "<<<HEADING:" in text:
+        text = _HEADING.sub("", text)
+    return _SPACED.sub("", text)
+
+
+def measure(texts: list[str]) -> np.ndarray:
+    """Statistics of every text, a row each, in the order of ``STATISTICS``; nan where there is none.
+
+    Counts are taken over the code points of all texts at once, with array operations.
+    """
+    if not _TABLE:
+        _TABLE.append(_classes())
+    bodies = [_body(t) for t in texts]
+    n = len(bodies)
+    joined = np.frombuffer(("\n".join(bodies) + "\n").encode("utf-32-le", "replace"), np.uint32)
+    bounds = np.concatenate([[0], np.cumsum(np.fromiter((len(b) + 1 for b in bodies), np.int64, n))])
+    kind = _TABLE[0][np.minimum(joined, 0x10FFFF)]
+
+    def totals(flags: np.ndarray) -> np.ndarray:
+        c = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+        return c[bounds[1:]] - c[bounds[:-1]]
+
+    def per_text(positions: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        return np.bincount(np.searchsorted(bounds, positions, "right") - 1, weights=weights, minlength=n)[:n]
+
+    space = (kind & _SPACE) > 0
+    letter, digit = (kind & _LETTER) > 0, (kind & _DIGIT) > 0
+    alnum = letter | digit | ((kind & _MARKED) > 0)
+    ink = totals(~space)
+    before = np.concatenate([[True], space[:-1]])
+    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
+    size = ends - starts
+
+    def within(flags: np.ndarray) -> np.ndarray:
+        c = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+        return c[ends] - c[starts]
+
+    letters, digits, plain = within(letter), within(digit), within((kind & _ASCII) > 0)
+    is_word = letters + digits > 0
+    words = per_text(starts[is_word])
+    tokens = per_text(starts)
+    short = per_text(starts[size == 1])
+    # runs of one letter don't make a word
+    same = np.concatenate([[False, False], (joined[2:] == joined[1:-1]) & (joined[1:-1] == joined[:-2])])
+    like = (letters >= 3) & (letters <= 18) & (plain == letters) & (digits == 0) & (size - letters <= 2) & (within((kind & _VOWEL) > 0) > 0) & (within(same & letter) == 0)
+    word_like = per_text(starts[like])
+    # common words: runs of letters of up to eight, packed into a number
+    edge = np.concatenate([[False], alnum, [False]])
+    a, b = np.flatnonzero(edge[1:-1] & ~edge[:-2]), np.flatnonzero(edge[1:-1] & ~edge[2:]) + 1
+    brief = b - a <= 8
+    a, b = a[brief], b[brief]
+    code = np.zeros(len(a), np.uint64)
+    low = np.where((joined >= 65) & (joined <= 90), joined + 32, np.minimum(joined, 255)).astype(np.uint64)
+    for i in range(8):
+        has = a + i < b
+        code[has] |= low[a[has] + i] << np.uint64(8 * i)
+    common = per_text(a[_COMMON[np.minimum(np.searchsorted(_COMMON, code), len(_COMMON) - 1)] == code])
+    # lines with ink; the last character that isn't a space or a closing mark tells how a line ends
+    line_end = np.flatnonzero(joined == 10)
+    line_start = np.concatenate([[0], line_end[:-1] + 1])
+    inked = np.concatenate([[0], np.cumsum(~space, dtype=np.int32)])
+    full = inked[line_end] > inked[line_start]
+    last = np.maximum.accumulate(np.where(~space & ((kind & _CLOSE) == 0), np.arange(len(joined)), -1))
+    stop = full & (last[line_end] >= line_start) & ((kind[np.maximum(last[line_end], 0)] & _STOP) > 0)
+    lines, stops = per_text(line_start[full]), per_text(line_start[stop])
+    marks = np.fromiter((len(_MARK.findall(t)) for t in bodies), np.int64, n)
+    lead = np.fromiter((len(_LEAD_WORD.findall(_LEAD.match(t).group(1))) for t in bodies), np.int64, n)
+    signs = ink - totals(alnum)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = np.column_stack([
+            words, totals(alnum) / words, signs / ink, stops / lines, np.where(words > 0, common / np.maximum(words, 1), np.where(ink > 0, 0.0, _NAN)), words / lines,
+            marks / lines, totals(digit) / ink, short / tokens, word_like / tokens, np.where(ink > 0, lead, _NAN), totals((kind & _COMMA) > 0) / tokens,
+        ])
+    out[~np.isfinite(out)] = _NAN
+    return out
+
+
+_RESULT = "struct<" + ",".join(f"{s}:double" for s in STATISTICS) + ">"
+
+
+def statistics(df: DataFrame, text: str = "text", chunk: int = 100_000) -> DataFrame:
+    """``df`` with a column for each name in ``STATISTICS``, measured ``chunk`` characters at a time."""
     if clash := set(STATISTICS) & set(df.columns):
         raise ValueError(f"columns {sorted(clash)} clash with added ones")
-    body = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<<<HEADING:.*?>>>\s*", ""), _SPACED, "")
-    n = lambda pattern: F.regexp_count(F.col("_body"), F.lit(pattern)).cast("double")
-    counted = df.withColumn("_body", body).withColumns({
-        "_lines": n(r"(?m)^.*\S.*$"),
-        "_stops": n(r"(?m)[.!?…][\"'”’»)]*[^\S\n]*$"),
-        "_words": n(r"\S*[\p{L}\p{N}]\S*"),
-        "_short": n(r"(?<!\S)\S(?!\S)"),
-        "_tokens": n(r"\S+"),
-        "_ink": n(r"\S"),
-        "_alnum": n(r"[\p{L}\p{N}\p{M}]"),
-        "_digits": n(r"\p{Nd}"),
-        "_vowels": n(r"[aeiouyAEIOUY]"),
-        "_common": n(_COMMON),
-        "_marks": n(_MARK),
-        "_cells": n(_CELL),
-        "_word_like": n(_WORD_LIKE),
-        "_values": n(_VALUE),
-        "_lead": F.regexp_count(F.regexp_extract("_body", _LEAD, 1), F.lit(r"\p{L}{2,}")).cast("double"),
-        "_commas": n(r"[,;]"),
-    })
-    there = F.col("_words") > 0
-    per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
-    out = {
-        "word_count": F.col("_words").cast("bigint"),
-        "mean_word_length": per("_alnum", "_words"),
-        "symbol_ratio": F.when(F.col("_ink") > 0, (F.col("_ink") - F.least("_alnum", "_ink")) / F.col("_ink")),
-        "punctuated_lines": per("_stops", "_lines"),
-        "common_words": F.when(there, F.col("_common") / F.col("_words")).otherwise(F.when(F.col("_ink") > 0, F.lit(0.0))),
-        "words_per_line": per("_words", "_lines"),
-        "marked_lines": per("_marks", "_lines"),
-        "separators_per_word": F.when(F.col("_tokens") > 0, F.col("_cells") / F.col("_tokens")),
-        "digit_ratio": per("_digits", "_ink"),
-        "vowel_ratio": F.when(F.col("_ink") > 0, F.col("_vowels") / F.greatest(F.col("_alnum") - F.col("_digits"), F.lit(1.0))),
-        "short_word_ratio": per("_short", "_tokens"),
-        "word_like": per("_word_like", "_tokens"),
-        "value_ratio": per("_values", "_tokens"),
-        "leading_capitals": F.when(F.col("_ink") > 0, F.col("_lead")),
-        "commas_per_word": F.when(F.col("_tokens") > 0, F.col("_commas") / F.col("_tokens")),
-    }
-    return counted.select(*df.columns, *(c.alias(k) for k, c in out.items()))
+
+    @F.pandas_udf(_RESULT)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            found, block, size = [], [], 0
+            for t in texts:
+                block.append(t or "")
+                size += len(block[-1])
+                if size >= chunk:
+                    found.append(measure(block))
+                    block, size = [], 0
+            if block:
+                found.append(measure(block))
+            yield pd.DataFrame(np.concatenate(found) if found else np.zeros((0, len(STATISTICS))), columns=list(STATISTICS))
+
+    # not deterministic: never evaluated a second time below a filter on a statistic
+    run = run.asNondeterministic()
+    out = df.withColumn("_s", run(F.col(text).cast("string")))
+    value = lambda s: F.when(~F.isnan(F.col(f"_s.{s}")), F.col(f"_s.{s}"))
+    return out.select(*df.columns, F.coalesce(value("word_count"), F.lit(0.0)).cast("bigint").alias("word_count"), *(value(s).alias(s) for s in STATISTICS[1:]))
 
 
 @dataclass(frozen=True)
