@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pagemill.plans import nested_queries
+from pagemill.plans import nested_queries, oracles, queries
 
-QUERIES = dict(nested_queries.QUERIES)
-ORACLES = dict(nested_queries.ORACLES)
+QUERIES = queries.QUERIES | nested_queries.QUERIES
+ORACLES = oracles.ORACLES | nested_queries.ORACLES
+flagship = queries.flagship
