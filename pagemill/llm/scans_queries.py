@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagemill.llm import quality
 from pagemill.llm.quality_queries import items, labels
 from pagemill.llm.scans import build_lexicon, repair_texts
-from pagemill.session import table
+from pagemill.session import materialize, table
 
 
 def _blocks(spark, sf_dir):
@@ -39,7 +39,8 @@ def _repaired_blocks(spark, sf_dir, reflowed):
 
 def p4_found(spark, sf_dir):
     """Noise of blocks; a section has every noise of its blocks."""
-    blocks = _repaired_blocks(spark, sf_dir, False).where("size(noises) > 0").select("book_id", "block_id", F.explode("noises").alias("noise")).distinct()
+    # written once: the blocks' noises are read for themselves and for the sections
+    blocks = materialize(_repaired_blocks(spark, sf_dir, False).where("size(noises) > 0").select("book_id", "block_id", F.explode("noises").alias("noise")).distinct(), "noises")
     sections = blocks.join(_parts(spark, sf_dir).select("book_id", "section_id", "block_id"), ["book_id", "block_id"])
     return blocks.select("book_id", F.col("block_id").alias("item_id"), "noise").unionByName(sections.select("book_id", F.col("section_id").alias("item_id"), "noise")).distinct()
 
