@@ -10,8 +10,8 @@ The learner sees at most ``max_labels`` labelled rows (by the order of a hash of
 the sample is the same wherever it is drawn); only their statistics reach the driver.
 
 Defined results: a null or blank text has word count 0, null for every other statistic and kind null;
-ties between kinds fall to the earlier rule; rows that arrive again are classified again; no columns
-but the named ones are read.
+ties between kinds fall to the earlier rule; rows that arrive again are classified again; other
+columns are carried, one with the name of a statistic as ``<name>_input``; without labels all is prose.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.naming import make_room
+
 # Frequent function words of English, without "of" and "one", which names of things are full of.
 COMMON_WORDS = (
     "a", "after", "an", "and", "any", "are", "as", "at", "be", "before", "but", "by", "can", "each", "every", "for", "from", "has", "have", "if", "in", "into", "is", "it", "its", "may",
@@ -166,8 +168,8 @@ _RESULT = "struct<" + ",".join(f"{s}:double" for s in STATISTICS) + ">"
 
 def statistics(df: DataFrame, text: str = "text", chunk: int = 100_000) -> DataFrame:
     """``df`` with a column for each name in ``STATISTICS``, measured ``chunk`` characters at a time."""
-    if clash := set(STATISTICS) & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} clash with added ones")
+    df, renamed = make_room(df, (*STATISTICS, "_s"))
+    text = renamed[text]
 
     @F.pandas_udf(_RESULT)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -322,5 +324,7 @@ def learn(items: DataFrame, labels: DataFrame, keys: list[str], text: str = "tex
     # at most max_labels keys: small enough to send to every task, so no text is shuffled
     sample = labelled_sample(labels, keys, max_labels)
     rows = statistics(items.select(*keys, text).join(F.broadcast(sample), keys).dropDuplicates(keys), text).drop(text).toPandas()
+    if rows.empty:
+        return []
     order = pd.util.hash_pandas_object(rows[keys].astype(str).agg("|".join, axis=1), index=False)
     return induce(rows.assign(_h=order.to_numpy()).sort_values("_h", kind="stable").reset_index(drop=True))

@@ -47,14 +47,14 @@ def p4_found(spark, sf_dir):
 
 def p4_blocks(spark, sf_dir):
     """Every text block as continuous paragraphs."""
-    return _repaired_blocks(spark, sf_dir, True).select("book_id", "block_id", F.col("repaired").alias("text")).distinct()
+    return _repaired_blocks(spark, sf_dir, True).select("book_id", "block_id", F.col("repaired").alias("text"))
 
 
 def p4_sections(spark, sf_dir):
     """Every section as continuous paragraphs."""
     rows = table(spark, sf_dir, "sections").select("book_id", "section_id", "text", "pages", F.slice("toc", 1, 1).alias("entries"))
     rows = rows.join(_titles(spark, sf_dir), "book_id", "left").select("book_id", "section_id", "text", "pages", F.array_union(F.coalesce("titles", F.array()), F.coalesce("entries", F.array())).alias("heads"))
-    return repair_texts(rows, *_tools(spark, sf_dir)).select("book_id", "section_id", F.col("repaired").alias("text")).distinct()
+    return repair_texts(rows, *_tools(spark, sf_dir)).select("book_id", "section_id", F.col("repaired").alias("text"))
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p4_blocks, p4_sections)}

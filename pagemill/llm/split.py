@@ -12,8 +12,8 @@ window holds no stronger one.
 
 Defined results: null texts give one piece with null text and null bounds, empty texts one piece of
 length 0; texts that fit give one piece equal to the text; equal rows give equal pieces, once for
-each row; other columns are carried unchanged, and a column that clashes with one of the added names
-raises ``ValueError``. Length and positions count code points.
+each row; other columns are carried unchanged, one with the name of an added column as ``<name>_input``.
+Length and positions count code points.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.naming import make_room
+
 #: Names of the boundary kinds, strongest first; ``end`` closes the text.
 KINDS = ("heading", "paragraph", "line", "sentence", "word", "character")
 HEADING = "<<<HEADING:"
@@ -89,8 +91,8 @@ def split_oversized(df: DataFrame, text: str = "text", headings: str | None = "h
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
-    if clash := set(ADDED) & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} clash with added ones")
+    df, renamed = make_room(df, (*ADDED, "_pieces", "_p"))
+    text, headings = renamed[text], renamed[headings] if headings else None
 
     @F.pandas_udf(PIECES)
     def pieces(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -101,5 +103,5 @@ def split_oversized(df: DataFrame, text: str = "text", headings: str | None = "h
     heads = F.col(headings).cast("array<string>") if headings else F.lit(None).cast("array<string>")
     whole = F.array(F.struct(F.lit(0).alias("piece_no"), F.when(F.col(text).isNotNull(), F.lit(0)).alias("piece_start"), F.char_length(text).alias("piece_end"), F.lit("end").alias("boundary"), F.col(text).alias("piece_text")))
     cutted = df.withColumn("_pieces", F.coalesce(pieces(F.when(over, F.col(text)), F.when(over, heads)), whole))
-    flat = cutted.withColumn("n_pieces", F.size("_pieces")).select(*df.columns, "n_pieces", F.explode("_pieces").alias("_p"))
+    flat = cutted.withColumn("n_pieces", F.size("_pieces")).select(*df.columns, "n_pieces", F.explode_outer("_pieces").alias("_p"))
     return flat.select(*df.columns, F.col("_p.piece_no").alias("piece_no"), "n_pieces", F.col("_p.piece_start").alias("piece_start"), F.col("_p.piece_end").alias("piece_end"), F.col("_p.boundary").alias("boundary"), F.col("_p.piece_text").alias("piece_text"))
