@@ -36,10 +36,10 @@ COMMON_WORDS = (
 )
 
 #: Statistics of a text; the first five are those of the problem, the others tell its shape.
-STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "digit_ratio", "short_word_ratio", "word_like", "leading_capitals", "commas_per_word")
+STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "words_per_line", "marked_lines", "continued_lines", "digit_ratio", "short_word_ratio", "word_like", "leading_capitals", "commas_per_word")
 #: Statistics the rules may use: those that don't depend on the length of a text or of its words. Of
 #: two that tell as much the earlier one is taken.
-RULE_STATISTICS = ("common_words", "word_like", "marked_lines", "leading_capitals", "commas_per_word", "symbol_ratio", "digit_ratio", "words_per_line", "short_word_ratio", "punctuated_lines")
+RULE_STATISTICS = ("common_words", "word_like", "marked_lines", "leading_capitals", "commas_per_word", "continued_lines", "symbol_ratio", "digit_ratio", "words_per_line", "short_word_ratio", "punctuated_lines")
 KINDS = ("table", "junk", "list", "prose")
 
 _HEADING = re.compile(r"<<<HEADING:.*?>>>\s*")
@@ -50,7 +50,7 @@ _LEAD = re.compile(r"\s*((?:[A-ZÀ-Þ][a-zß-ÿ\u0300-\u036f]+(?:[^\S\n]*\([^)\n
 _LEAD_WORD = re.compile(r"[^\W\d_]{2,}")
 
 # classes of a code point, as bits
-_SPACE, _LETTER, _DIGIT, _VOWEL, _COMMA, _STOP, _CLOSE, _MARKED, _ASCII = (1 << i for i in range(9))
+_SPACE, _LETTER, _DIGIT, _VOWEL, _COMMA, _STOP, _CLOSE, _MARKED, _ASCII, _LOWER = (1 << i for i in range(10))
 
 
 def _classes() -> np.ndarray:
@@ -63,7 +63,7 @@ def _classes() -> np.ndarray:
         if ch.isspace():
             table[c] |= _SPACE
         elif kind[0] == "L":
-            table[c] |= _LETTER | (_ASCII if c < 128 else 0)
+            table[c] |= _LETTER | (_ASCII if c < 128 else 0) | (_LOWER if kind == "Ll" else 0)
         elif kind[0] == "N":
             table[c] |= _DIGIT
         elif kind[0] == "M":
@@ -151,15 +151,21 @@ def measure(texts: list[str]) -> np.ndarray:
     last = np.maximum.accumulate(np.where(~space & ((kind & _CLOSE) == 0), np.arange(len(joined)), -1))
     stop = full & (last[line_end] >= line_start) & ((kind[np.maximum(last[line_end], 0)] & _STOP) > 0)
     lines, stops = per_text(line_start[full]), per_text(line_start[stop])
+    # a line that goes on from the one before starts with a small letter that isn't a mark
+    first = starts[np.searchsorted(starts, line_start[full])]
+    after = joined[np.minimum(first + 1, len(joined) - 1)]
+    goes_on = ((kind[first] & _LOWER) > 0) & (after != ord(")")) & (after != ord("."))
+    continued = per_text(line_start[full][goes_on])
     marks = np.fromiter((len(_MARK.findall(t)) for t in bodies), np.int64, n)
     lead = np.fromiter((len(_LEAD_WORD.findall(_LEAD.match(t).group(1))) for t in bodies), np.int64, n)
     signs = ink - totals(alnum)
     with np.errstate(divide="ignore", invalid="ignore"):
         out = np.column_stack([
             words, totals(alnum) / words, signs / ink, stops / lines, np.where(words > 0, common / np.maximum(words, 1), np.where(ink > 0, 0.0, _NAN)), words / lines,
-            marks / lines, totals(digit) / ink, short / tokens, word_like / tokens, np.where(ink > 0, lead, _NAN), totals((kind & _COMMA) > 0) / tokens,
+            marks / np.maximum(lines - continued, 1), continued / lines, totals(digit) / ink, short / tokens, word_like / tokens, np.where(ink > 0, lead, _NAN), totals((kind & _COMMA) > 0) / tokens,
         ])
     out[~np.isfinite(out)] = _NAN
+    out[lines == 0, STATISTICS.index("marked_lines")] = _NAN
     return out
 
 
@@ -328,3 +334,22 @@ def learn(items: DataFrame, labels: DataFrame, keys: list[str], text: str = "tex
         return []
     order = pd.util.hash_pandas_object(rows[keys].astype(str).agg("|".join, axis=1), index=False)
     return induce(rows.assign(_h=order.to_numpy()).sort_values("_h", kind="stable").reset_index(drop=True))
+
+
+def agree(kinds: DataFrame, parts: DataFrame, group: str, whole: str, part: str) -> DataFrame:
+    """One kind for all texts of a whole, by vote of its parts and of the whole itself.
+
+    ``kinds`` is (group, item, kind), ``parts`` tells which items (``part``) stand in which item
+    (``whole``). Of kinds with as many votes the one of the whole's own text counts, then the first by
+    name. Items that stand in no whole keep their kind. Only keys and kinds are shuffled, and votes are
+    counted before they are.
+    """
+    inside = parts.select(F.col(group).alias("g"), F.col(whole).alias("w"), F.col(part).alias("p")).where("g is not null and w is not null and p is not null").distinct()
+    one = kinds.select(F.col(group).alias("g"), F.col("item").alias("i"), "kind").where("kind is not null").distinct()
+    own = one.join(inside.select("g", F.col("w").alias("i")).distinct(), ["g", "i"], "left_semi").select("g", F.col("i").alias("w"), "kind", F.lit(1).alias("n"), F.lit(1).alias("own"))
+    votes = inside.join(one.withColumnRenamed("i", "p"), ["g", "p"]).groupBy("g", "w", "kind").agg(F.count("*").cast("int").alias("n")).withColumn("own", F.lit(0))
+    counted = votes.unionByName(own).groupBy("g", "w", "kind").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
+    winner = counted.groupBy("g", "w").agg(F.max_by("kind", F.struct("n", "own", "kind")).alias("said"))
+    told = winner.withColumnRenamed("w", "i").unionByName(inside.join(winner, ["g", "w"]).select("g", F.col("p").alias("i"), "said")).groupBy("g", "i").agg(F.min("said").alias("said"))
+    out = one.join(told, ["g", "i"], "left")
+    return out.select(F.col("g").alias(group), F.col("i").alias("item"), F.coalesce("said", "kind").alias("kind")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm import quality
-from pagemill.session import table
+from pagemill.session import materialize, table
 
 
 def items(spark, sf_dir):
@@ -32,7 +32,11 @@ def _kinds(spark, sf_dir):
 
 
 def p5_found(spark, sf_dir):
-    return _kinds(spark, sf_dir).where("kind <> 'prose'").select("book_id", "item_id", "kind").distinct()
+    """Texts of one section are of one kind, so the kinds of its texts vote."""
+    own = materialize(_kinds(spark, sf_dir).select("book_id", F.col("item_id").alias("item"), "kind"), "kinds")
+    parts = table(spark, sf_dir, "sections").select("book_id", "section_id", F.explode("block_ids").alias("block_id"))
+    said = quality.agree(own, parts, "book_id", "section_id", "block_id")
+    return said.where("kind <> 'prose'").select("book_id", F.col("item").alias("item_id"), "kind").distinct()
 
 
 def p5_statistics(spark, sf_dir):

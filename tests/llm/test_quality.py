@@ -70,3 +70,12 @@ def test_frame(spark):
     assert by["null"].word_count == 0 and by["null"].symbol_ratio is None and by["i0"].word_count_input == "mine" and len(got) == len(rows) + 6
     assert quality.learn(items.limit(0), labels, ["book_id", "item_id"]) == [] and quality.learn(items, labels.limit(0), ["book_id", "item_id"]) == []
     assert quality.statistics(items.limit(0)).count() == 0
+
+
+def test_texts_of_a_whole_agree(spark):
+    kinds = spark.createDataFrame([(1, "s", "prose"), (1, "a", "list"), (1, "b", "list"), (1, "c", "prose"), (1, "c", "prose"), (1, "alone", "junk"), (1, "t", "table"), (1, "d", "junk"), (2, "a", "prose"), (1, "n", None), (None, "a", "list")], "book bigint, item string, kind string")
+    parts = spark.createDataFrame([(1, "s", "a"), (1, "s", "b"), (1, "s", "c"), (1, "s", "c"), (1, "t", "d"), (1, "t", None), (1, "u", "missing"), (None, "s", "a")], "book bigint, sec string, blk string")
+    got = {(r.book, r.item): r.kind for r in quality.agree(kinds, parts, "book", "sec", "blk").collect()}
+    # two lists against one prose and the section's own prose: a tie, which the section's own text settles
+    assert got == {(1, "s"): "prose", (1, "a"): "prose", (1, "b"): "prose", (1, "c"): "prose", (1, "alone"): "junk", (1, "t"): "table", (1, "d"): "table", (2, "a"): "prose", (None, "a"): "list"}
+    assert quality.agree(kinds.limit(0), parts, "book", "sec", "blk").count() == 0
