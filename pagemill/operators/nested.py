@@ -256,11 +256,34 @@ def map_cells(df: DataFrame, column: str = "rows", key: str = "table_id", book:
     return out.withColumnRenamed("parent_position", "row_position")
 
 
+def _table_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of columns, rows and cells from one pass over (book_id, record_id, columns, rows)."""
+    for batch in batches:
+        books, ids = batch.column(0), batch.column(1)
+        parts: list[list[pa.Array]] = []
+
+        def add(link: str, record: np.ndarray, parent: pa.Array | None, child: pa.Array, books=books, ids=ids, parts=parts) -> None:
+            at = pa.array(record)
+            named = ids.take(at)
+            parts.append([books.take(at), named, pa.array([link] * len(record), pa.string()), named if parent is None else parent, child])
+
+        number = lambda x: pa.array(x).cast(pa.string())
+        column = shred_arrow(batch.column(2), "columns")[0]
+        _, record, _, own = rebuild(column, 1)
+        add("column", record, None, number(own))
+        key = next(x for x in shred_arrow(batch.column(3), "rows") if x.path == "rows.element.key")
+        _, record, _, own = rebuild(key, 1)
+        add("row", record, None, number(own))
+        slot, record, parent, _ = rebuild(key, 2)
+        add("cell", record, number(parent), key.values.take(pa.array(key.index[slot])).cast(pa.string()))
+        for p in parts:
+            yield pa.RecordBatch.from_arrays(p, names=["book_id", "record_id", "link", "parent_key", "child_key"])
+
+
 def links(tocs: DataFrame, tables: DataFrame) -> DataFrame:
     """All parent-child links: (book_id, record_id, link, parent_key, child_key), distinct."""
     s = lambda c: F.col(c).cast(T.StringType())
     node = outline_nodes(tocs).where("parent_position is not null").select("book_id", "record_id", F.lit("node").alias("link"), s("parent_position").alias("parent_key"), s("position").alias("child_key"))
-    column = list_elements(tables).select("book_id", "record_id", F.lit("column").alias("link"), F.col("record_id").alias("parent_key"), s("position").alias("child_key"))
-    row = map_rows(tables).select("book_id", "record_id", F.lit("row").alias("link"), F.col("record_id").alias("parent_key"), s("position").alias("child_key"))
-    cell = map_cells(tables).select("book_id", "record_id", F.lit("cell").alias("link"), s("row_position").alias("parent_key"), F.col("key").alias("child_key"))
-    return node.unionByName(column).unionByName(row).unionByName(cell).distinct()
+    source = tables.select(F.col("book_id").cast("bigint").alias("book_id"), F.col("table_id").cast("string").alias("record_id"), "columns", "rows")
+    table = source.mapInArrow(_table_links, "book_id bigint, record_id string, link string, parent_key string, child_key string")
+    return node.unionByName(table).distinct()
