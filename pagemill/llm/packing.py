@@ -126,8 +126,9 @@ def fill(sizes: list[int], capacity: int) -> tuple[list[int], int]:
 def pack(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048, tokenizer: str = TOKENIZER, shard_windows: int = 256) -> DataFrame:
     """(key, piece_no, start_token, n_tokens, shard, window): where every piece of every text goes."""
     sized = materialize(df.select(F.col(key).cast("string").alias("k"), token_count(F.col(text).cast("string"), tokenizer).alias("n")).withColumn("row", F.monotonically_increasing_id()), "packing-sizes")
-    total = sized.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, round(total / (capacity * shard_windows)))
+    total, items = sized.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+    # by tokens, and by number where most texts are empty or tiny
+    shards = max(1, round(total / (capacity * shard_windows)), items // 200_000)
     last = F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)) - 1
     pieces = sized.where("n is not null").withColumn("piece_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
     pieces = pieces.withColumn("start_token", F.col("piece_no") * capacity).withColumn("n_tokens", F.least(F.col("n") - F.col("start_token"), F.lit(capacity)))
