@@ -38,3 +38,46 @@ def pending(work: DataFrame, done: DataFrame, keys: list[str], fingerprint: str
 def resume(work: DataFrame, done: DataFrame, keys: list[str], run) -> DataFrame:
     """Results already there and those of ``run`` over the rest."""
     return done.unionByName(run(pending(work, done, keys)))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, on any file system Spark knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def write_images(images: DataFrame, root: str) -> None:
+    """Writes (image_path, image) as files under a folder that all workers share; rows without image are left out.
+
+    Each file appears whole: it is written beside its place and moved there.
+    """
+
+    def put(rows) -> None:
+        import os
+        import uuid
+        from pathlib import Path
+
+        for row in rows:
+            place = Path(root) / row.image_path
+            place.parent.mkdir(parents=True, exist_ok=True)
+            beside = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
+            beside.write_bytes(bytes(row.image))
+            os.replace(beside, place)
+
+    images.where("image is not null").select("image_path", "image").foreachPartition(put)
+
+
+def crop_images(boxes: DataFrame, pages: DataFrame, cropper) -> DataFrame:
+    """(image_path, image) of regions: ``cropper() -> f(image, x0, y0, x1, y1) -> bytes``, made once per worker.
+
+    ``boxes`` has doc_id, page_index, image_path and crop_x0 .. crop_y1; ``pages`` doc_id, page_index, image.
+    """
+
+    def run(parts):
+        one = cropper()
+        for pdf in parts:
+            cut = [one(i, a, b, c, d) for i, a, b, c, d in zip(pdf["image"], pdf["crop_x0"], pdf["crop_y0"], pdf["crop_x1"], pdf["crop_y1"], strict=True)]
+            yield pdf[["image_path"]].assign(image=cut)
+
+    joined = boxes.join(pages.select("doc_id", "page_index", "image"), ["doc_id", "page_index"])
+    return joined.mapInPandas(run, "image_path string, image binary")
