@@ -50,7 +50,9 @@ def _attached(blocks: DataFrame, outline: DataFrame | None, pages: list[int] | t
 def text_blocks(blocks: DataFrame, outline: DataFrame | None = None, pages_to_skip: list[int] | tuple[int, ...] = ()) -> DataFrame:
     """Text blocks, cleaned. An untitled one joins the titled one before it, across tables and pages, which
     keeps its own id, page and path; untitled ones before any titled one stand alone."""
-    rows = _attached(blocks, outline, pages_to_skip).where("type = 'text'").withColumn("text", normalize_text(F.col("text")))
+    # cleaned where the blocks lie, before any of them moves to its document
+    cleaned = blocks.withColumn("text", F.when(F.col("type") == "text", normalize_text(F.col("text"))))
+    rows = _attached(cleaned, outline, pages_to_skip).where("type = 'text'")
     group = F.sum(F.when(has_text(F.col("title")), 1).otherwise(0)).over(_so_far())
     place = F.row_number().over(_by_doc())
     rows = rows.withColumn("_n", place).withColumn("_g", group).withColumn("_g", F.when(F.col("_g") == 0, F.col("_n")).otherwise(-F.col("_g")))

@@ -60,3 +60,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores.
+
+    For work that costs far more than moving its input. Only inputs of fewer partitions than cores are
+    moved, that is, small ones; ``df`` must be a scan with projections and filters.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def task_count(spark: SparkSession) -> int:
+    """Partitions for a costly stage after a shuffle: as configured, and no fewer than the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
