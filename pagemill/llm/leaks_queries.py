@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm.leaks import runs
-from pagemill.session import table
+from pagemill.session import spread, table
 
 
 def _runs(spark, sf_dir):
-    return runs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return runs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items"))
 
 
 def p7_found(spark, sf_dir):

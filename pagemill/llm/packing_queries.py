@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm.packing import pack
-from pagemill.session import table
+from pagemill.session import spread, table
 
 CAPACITY = 2048
 
 
 def p6_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"), capacity=CAPACITY)
+    return pack(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), capacity=CAPACITY)
 
 
 def p6_fill(spark, sf_dir):

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm.personal import find_personal
-from pagemill.session import table
+from pagemill.session import spread, table
 
 
 def _found(spark, sf_dir):
-    return find_personal(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "known_names"))
+    return find_personal(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "known_names"))
 
 
 def p8_found(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm import quality
-from pagemill.session import materialize, table
+from pagemill.session import materialize, spread, table
 
 
 def items(spark, sf_dir):
@@ -28,7 +28,7 @@ def labels(spark, sf_dir):
 def _kinds(spark, sf_dir):
     every = items(spark, sf_dir)
     rules = quality.learn(every, labels(spark, sf_dir), ["book_id", "item_id"])
-    return quality.statistics(every).withColumn("kind", quality.kind_of(rules))
+    return quality.statistics(spread(every)).withColumn("kind", quality.kind_of(rules))
 
 
 def p5_found(spark, sf_dir):

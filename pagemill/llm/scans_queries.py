@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagemill.llm import quality
 from pagemill.llm.quality_queries import items, labels
 from pagemill.llm.scans import build_lexicon, repair_texts
-from pagemill.session import materialize, table
+from pagemill.session import materialize, spread, table, task_count
 
 
 def _blocks(spark, sf_dir):
@@ -26,14 +26,14 @@ def _titles(spark, sf_dir):
 
 def _tools(spark, sf_dir):
     rules = quality.learn(items(spark, sf_dir), labels(spark, sf_dir), ["book_id", "item_id"])
-    return build_lexicon(table(spark, sf_dir, "blocks").where("type = 'text'")), rules
+    return build_lexicon(spread(table(spark, sf_dir, "blocks").where("type = 'text'").select("text"))), rules
 
 
 def _repaired_blocks(spark, sf_dir, reflowed):
     entries = _parts(spark, sf_dir).groupBy("book_id", "block_id").agg(F.collect_set("entry").alias("entries"))
     both = entries.join(_titles(spark, sf_dir), "book_id", "full_outer")
     heads = both.where("block_id is not null").select("book_id", "block_id", F.array_union(F.coalesce("titles", F.array()), F.coalesce("entries", F.array())).alias("heads"))
-    rows = _blocks(spark, sf_dir).join(heads, ["book_id", "block_id"], "left").withColumn("pages", F.array("page"))
+    rows = _blocks(spark, sf_dir).repartition(task_count(spark), "book_id", "block_id").join(heads, ["book_id", "block_id"], "left").withColumn("pages", F.array("page"))
     return repair_texts(rows, *_tools(spark, sf_dir), reflowed=reflowed)
 
 
