@@ -31,11 +31,12 @@ def overlap_pairs(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3)
 def first_matches(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3) -> DataFrame:
     """Spans with ``label`` of the first covering region and ``table_idx`` of the first covering table.
 
-    Both come from one join and one aggregation with map-side combine.
+    One outer join and one aggregation, both within the page: where the spans already lie by page, they
+    don't move. A span that comes twice counts once.
     """
-    pairs = overlap_pairs(spans, layout, min_overlap)
-    found = pairs.groupBy(*SPAN_KEYS).agg(F.min_by("label", "layout_idx").alias("label"), F.min(F.when(F.col("label") == TABLE_LABEL, F.col("layout_idx"))).alias("table_idx"))
-    return spans.join(found, list(SPAN_KEYS), "left")
+    pairs = _on_page(spans, layout, "left", min_overlap)
+    own = [F.col(f"s.{c}").alias(c) for c in spans.columns]
+    return pairs.groupBy(*own).agg(F.min_by("r.label", "r.layout_idx").alias("label"), F.min(F.when(F.col("r.label") == TABLE_LABEL, F.col("r.layout_idx"))).alias("table_idx"))
 
 
 def content_spans(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3) -> DataFrame:
