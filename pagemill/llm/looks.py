@@ -39,10 +39,10 @@ LOOKALIKES = {
     "Օ": "O", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g",
 }
 # Characters that are drawn as a space, and those that break a line.
-SPACES = "               　"
-BREAKS = "\r\u0085  "
+SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+BREAKS = "\r\u0085\u2028\u2029"
 # Characters that are not drawn, besides control and format characters.
-UNDRAWN = "͏ᅟᅠ឴឵⠀ㅤﾠ᠋᠌᠍︀︁︂︃︄︅︆︇︈︉︊︋︌︍︎️"
+UNDRAWN = "\u034f\u115f\u1160\u17b4\u17b5\u2800\u3164\uffa0\u180b\u180c\u180d\ufe00\ufe01\ufe02\ufe03\ufe04\ufe05\ufe06\ufe07\ufe08\ufe09\ufe0a\ufe0b\ufe0c\ufe0d\ufe0e\ufe0f"
 #: Compatibility classes whose characters look like what they stand for.
 _SAME_LOOK = {"<wide>", "<narrow>"}
 

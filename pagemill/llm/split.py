@@ -36,7 +36,7 @@ _BLANK = regex.compile(r"\n[^\S\n]*\n\s*")
 _LINE = regex.compile(r"\n")
 _SENTENCE = regex.compile(r"[.!?…][\"'”’»)\]]*\s+(?=[\"'“‘«(\[]*[\p{Lu}\p{Nd}\p{Lo}])|[。！？]")
 _WORD = regex.compile(r"\s+")
-_EXTEND = regex.compile(r"[\p{M}‍︎️]")
+_EXTEND = regex.compile("[\\p{M}\u200d\ufe0e\ufe0f]")
 
 ADDED = ("piece_no", "n_pieces", "piece_start", "piece_end", "boundary", "piece_text")
 PIECES = "array<struct<piece_no:int,piece_start:int,piece_end:int,boundary:string,piece_text:string>>"
