@@ -29,11 +29,22 @@ def _tools(spark, sf_dir):
     return build_lexicon(spread(table(spark, sf_dir, "blocks").where("type = 'text'").select("text"))), rules
 
 
+def _with_heads(spark, sf_dir, rows, key, entries):
+    """``rows`` with ``heads``: titles of the book and first entries of the path.
+
+    The heads are put together by keys alone, so that a book that holds a large share of all blocks
+    moves no text into one task; texts move by their own key.
+    """
+    keys = rows.select("book_id", key).distinct()
+    heads = keys.join(entries, ["book_id", key], "left").join(_titles(spark, sf_dir), "book_id", "left")
+    none = F.array().cast("array<string>")
+    heads = heads.select("book_id", key, F.array_union(F.coalesce("titles", none), F.coalesce("entries", none)).alias("heads"))
+    return rows.repartition(task_count(spark), "book_id", key).join(heads, ["book_id", key], "left")
+
+
 def _repaired_blocks(spark, sf_dir, reflowed):
     entries = _parts(spark, sf_dir).groupBy("book_id", "block_id").agg(F.collect_set("entry").alias("entries"))
-    both = entries.join(_titles(spark, sf_dir), "book_id", "full_outer")
-    heads = both.where("block_id is not null").select("book_id", "block_id", F.array_union(F.coalesce("titles", F.array()), F.coalesce("entries", F.array())).alias("heads"))
-    rows = _blocks(spark, sf_dir).repartition(task_count(spark), "book_id", "block_id").join(heads, ["book_id", "block_id"], "left").withColumn("pages", F.array("page"))
+    rows = _with_heads(spark, sf_dir, _blocks(spark, sf_dir), "block_id", entries).withColumn("pages", F.array("page"))
     return repair_texts(rows, *_tools(spark, sf_dir), reflowed=reflowed)
 
 
@@ -52,8 +63,9 @@ def p4_blocks(spark, sf_dir):
 
 def p4_sections(spark, sf_dir):
     """Every section as continuous paragraphs."""
-    rows = table(spark, sf_dir, "sections").select("book_id", "section_id", "text", "pages", F.slice("toc", 1, 1).alias("entries"))
-    rows = rows.join(_titles(spark, sf_dir), "book_id", "left").select("book_id", "section_id", "text", "pages", F.array_union(F.coalesce("titles", F.array()), F.coalesce("entries", F.array())).alias("heads"))
+    sections = table(spark, sf_dir, "sections")
+    entries = sections.groupBy("book_id", "section_id").agg(F.collect_set(F.try_element_at("toc", F.lit(1))).alias("entries"))
+    rows = _with_heads(spark, sf_dir, sections.select("book_id", "section_id", "text", "pages"), "section_id", entries)
     return repair_texts(rows, *_tools(spark, sf_dir)).select("book_id", "section_id", F.col("repaired").alias("text"))
 
 
