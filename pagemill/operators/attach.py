@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import has_text, normalize_text, normalize_title
-
-def _by_doc():
-    return Window.partitionBy("doc_id").orderBy("page", "order_id")
-
-
-def _so_far():
-    return _by_doc().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
+from pagemill.operators.runs import scan
 
 def skip_pages(blocks: DataFrame, pages: list[int] | tuple[int, ...]) -> DataFrame:
     """Without the blocks of some pages, which then don't move the outline either."""
@@ -36,15 +29,18 @@ def match_outline(blocks: DataFrame, outline: DataFrame) -> DataFrame:
 
 def carry_paths(matched: DataFrame) -> DataFrame:
     """With ``toc``: the path matched last, tables included; empty before the first match."""
-    path = F.last("matched_path", ignorenulls=True).over(_so_far())
-    return matched.withColumn("toc", F.coalesce(path, F.array().cast("array<string>")))
+    rows = scan(matched, carries={"toc": F.col("matched_path")})
+    return rows.withColumn("toc", F.coalesce("toc", F.array().cast("array<string>")))
 
 
-def _attached(blocks: DataFrame, outline: DataFrame | None, pages: list[int] | tuple[int, ...]) -> DataFrame:
+def _attached(blocks: DataFrame, outline: DataFrame | None, pages: list[int] | tuple[int, ...], grouped: bool = False) -> DataFrame:
+    """Blocks with ``toc`` and, if asked, ``_g``: how many titled text blocks there are up to the block."""
     kept = skip_pages(blocks, pages)
-    if outline is None:
-        return kept.withColumn("toc", F.array().cast("array<string>"))
-    return carry_paths(match_outline(kept, outline))
+    matched = kept.withColumn("matched_path", F.lit(None).cast("array<string>")) if outline is None else match_outline(kept, outline)
+    titled = {"_g": F.when((F.col("type") == "text") & has_text(F.col("title")), 1).otherwise(0)}
+    rows = scan(matched, carries={"toc": F.col("matched_path")} if outline is not None else {}, sums=titled if grouped else {}) if grouped or outline is not None else matched
+    none = F.array().cast("array<string>")
+    return rows.withColumn("toc", F.coalesce("toc", none) if outline is not None else none)
 
 
 def text_blocks(blocks: DataFrame, outline: DataFrame | None = None, pages_to_skip: list[int] | tuple[int, ...] = ()) -> DataFrame:
@@ -52,13 +48,12 @@ def text_blocks(blocks: DataFrame, outline: DataFrame | None = None, pages_to_sk
     keeps its own id, page and path; untitled ones before any titled one stand alone."""
     # cleaned where the blocks lie, before any of them moves to its document
     cleaned = blocks.withColumn("text", F.when(F.col("type") == "text", normalize_text(F.col("text"))))
-    rows = _attached(cleaned, outline, pages_to_skip).where("type = 'text'")
-    group = F.sum(F.when(has_text(F.col("title")), 1).otherwise(0)).over(_so_far())
-    place = F.row_number().over(_by_doc())
-    rows = rows.withColumn("_n", place).withColumn("_g", group).withColumn("_g", F.when(F.col("_g") == 0, F.col("_n")).otherwise(-F.col("_g")))
-    first = lambda c: F.min_by(c, "_n").alias(c)
-    merged = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "text"))), lambda x: x["text"]), "\n\n")
-    return rows.groupBy("doc_id", "_g").agg(*(first(c) for c in ("block_id", "page", "order_id", "title", "toc")), merged.alias("text")).drop("_g")
+    rows = _attached(cleaned, outline, pages_to_skip, grouped=True).where("type = 'text'")
+    alone = F.col("_g") == 0
+    at = F.struct("page", "order_id")
+    merged = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "order_id", "text"))), lambda x: x["text"]), "\n\n")
+    groups = rows.groupBy("doc_id", "_g", F.when(alone, at).alias("_own"))
+    return groups.agg(*(F.min_by(c, at).alias(f"_{c}") for c in ("block_id", "page", "order_id", "title", "toc")), merged.alias("text")).select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("block_id", "page", "order_id", "title", "toc")), "text")
 
 
 def table_blocks(blocks: DataFrame, outline: DataFrame | None = None, pages_to_skip: list[int] | tuple[int, ...] = ()) -> DataFrame:

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import has_text, is_blank, normalize_title, strip
+from pagemill.operators.runs import number_stretches
 
 # Marks around a heading inside the text of a section.
 HEADING_PREFIX, HEADING_SUFFIX = "<<<HEADING:", ">>>"
 
-def _by_doc():
-    return Window.partitionBy("doc_id").orderBy("page", "order_id")
-
-
-def _so_far():
-    return _by_doc().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def mark_headings(text_blocks: DataFrame) -> DataFrame:
     """Non-blank blocks with ``is_heading`` and the text below its marked heading.
 
@@ -33,18 +26,16 @@ def mark_headings(text_blocks: DataFrame) -> DataFrame:
 
 def sections(text_blocks: DataFrame) -> DataFrame:
     """One row per section. A path that comes again opens a new section."""
-    rows = mark_headings(text_blocks)
-    opens = F.when(F.lag("toc").over(_by_doc()).eqNullSafe(F.col("toc")) & (F.row_number().over(_by_doc()) > 1), 0).otherwise(1)
-    rows = rows.withColumn("_opens", opens).withColumn("_s", F.sum("_opens").over(_so_far()) - 1).withColumn("_n", F.row_number().over(_by_doc()))
-    headed = Window.partitionBy("doc_id", "_s", "is_heading").orderBy("_n")
-    rows = rows.withColumn("_head", F.when(F.col("is_heading") & ~F.lag("title").over(headed).eqNullSafe(F.col("title")), F.col("title")))
-    part = F.array_sort(F.collect_list(F.struct("_n", "text", "page", "block_id", "_head")))
-    found = rows.groupBy("doc_id", "_s").agg(F.min_by("toc", "_n").alias("toc"), part.alias("_p"))
+    rows = number_stretches(mark_headings(text_blocks), "toc", "_s")
+    part = F.struct("page", "order_id", "text", "block_id", F.when(F.col("is_heading"), F.col("title")).alias("head"))
+    found = rows.groupBy("doc_id", "_s").agg(F.min_by("toc", F.struct("page", "order_id")).alias("toc"), F.array_sort(F.collect_list(part)).alias("_p"))
+    found = found.withColumn("_h", F.filter(F.transform("_p", lambda x: x["head"]), lambda x: x.isNotNull()))
     return found.select(
         "doc_id",
         F.format_string("sec_%06d", "_s").alias("section_id"),
         "toc",
-        F.filter(F.transform("_p", lambda x: x["_head"]), lambda x: x.isNotNull()).alias("headings"),
+        # a heading that comes twice in a row counts once
+        F.filter("_h", lambda x, i: (i == 0) | (x != F.try_element_at(F.col("_h"), i))).alias("headings"),
         F.array_join(F.transform("_p", lambda x: x["text"]), "\n\n").alias("text"),
         F.array_distinct(F.transform("_p", lambda x: x["page"])).alias("pages"),
         F.transform("_p", lambda x: x["block_id"]).alias("block_ids"),
