@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.session import table
+from pagemill.session import spread, table
 
 def _d():
     return F.col("doc_id")
@@ -74,7 +74,7 @@ def noisy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(" "), t, F.lit("\n")))
     )
     # characters beyond ASCII in the given texts would need compatibility composition in DuckDB too
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.regexp_replace(noisy, "[^\\x00-\\x7f“”—ﬁ…•▪]", "?").alias("text"))
+    return spread(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")).select("doc_id", F.regexp_replace(noisy, "[^\\x00-\\x7f“”—ﬁ…•▪]", "?").alias("text"))
 
 
 NOISY = """noisy AS (SELECT doc_id, regexp_replace(CASE doc_id % 8 WHEN 0 THEN replace(text, 'th', 't- h') WHEN 1 THEN replace(text, ', ', ' — ') WHEN 2 THEN replace(text, '. ', '.' || repeat(chr(10), 4))
