@@ -142,14 +142,22 @@ _NO = r"\d{1,4}\s?[A-Za-z]?(?![\w-])"
 _ZIP = r"\d{4,6}(?!\d)"
 _DE = r"(?:[A-ZÄÖÜ][\wäöüß]*(?:straße|strasse|str\.|allee|gasse|ring|weg|platz|ufer|damm|markt|steig|hof)|(?:Am|An der|Im|In der|Zum|Zur|Auf dem|Unter den)\s+[A-ZÄÖÜ]\w+(?:\s+[A-ZÄÖÜ]\w+)?|[A-ZÄÖÜ]\w+er\s+(?:Straße|Weg|Allee|Platz))"
 _ROMANCE = r"(?:(?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Cc]hemin|[Qq]uai|[Ii]mpasse|[Aa]llée|[Cc]alle|[Aa]venida|[Pp]laza|[Pp]aseo|[Cc]amino)\s+(?:(?:de|del|la|le|les|des|du|los|las|el|l['’]|d['’])\s*)*" + _CAP + r"(?:\s+(?:de|du|la|des|del)?\s*" + _CAP + r")?)"
-_ADDRESSES = [re.compile(p) for p in (
+_ADDRESS_FORMS = (
     rf"(?:{_PART},?\s+)?(?<![\w-]){_NO},?\s+{_EN},?\s+(?:{_PART},?\s+)?{_TOWN},?\s+{_ZIP}",
     rf"(?:{_PART},?\s+)?(?<![\w-]){_NO},?\s+{_EN},\s+(?:{_PART},\s+)?{_TOWN}",
     rf"(?:{_PART},?\s+)?\b{_EN}\s+{_NO},\s+(?:{_PART},?\s+)?{_TOWN}(?:,?\s+{_ZIP})?",
     rf"\b{_DE}\s+{_NO},?\s+(?:D-)?{_ZIP}\s+{_TOWN}",
     rf"(?:(?<![\w-]){_NO},?\s+{_ROMANCE}|\b{_ROMANCE},?\s+{_NO}),?\s+(?:{_ZIP}\s+{_TOWN}|{_TOWN},?\s+{_ZIP})",
     rf"\b(?:P\.?\s?O\.?\s+Box|Postfach|Boîte\s+postale|B\.?P\.?|Apartado(?:\s+de\s+[Cc]orreos)?)\s+\d[\d ]*,?\s+(?:{_ZIP}\s+{_TOWN}|{_TOWN}(?:,?\s+{_ZIP})?)",
-)]
+)
+_ADDRESSES = [re.compile(p) for p in _ADDRESS_FORMS]
+# In capitals every word looks like a name: there the words of the patterns count in either case, and
+# words that are part of no street or town are no names. Such stretches end at a word in small letters,
+# except those that the patterns themselves know.
+_NO_NAME = r"(?!(?:A|AN|AND|ARE|AS|AT|BEFORE|BY|FOR|FROM|HAS|IF|IN|IS|OF|ON|OR|THE|THEN|TO|UNTIL|WAS|WHEN|WHERE|WITH|BEI|BIS|MIT|NACH|ODER|UND|VON|CHEZ|ET|OU|POUR|CON|PARA|Y)\b)"
+_IN_CAPITALS = [re.compile(p.replace(_CAP, _NO_NAME + _CAP), re.I) for p in _ADDRESS_FORMS]
+_SMALL = re.compile(r"(?<![\w'’-])(?!(?:de|del|la|le|les|des|du|los|las|el|d|l|der|den|dem|rue|avenue|boulevard|place|chemin|quai|impasse|allée|calle|avenida|plaza|paseo|camino|postale|correos)\b)[a-zß-öø-ÿ]{2}[\w'’-]*")
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}")
 _HOUSE = re.compile(r"\d")
 
 _ID_WORD = (
@@ -263,6 +271,17 @@ def _given(word: str, names: Names, strength: int, family: str) -> bool:
     return strength > 0 and low not in _PLACE_WORDS and len(word) > 2 and not names.family_like(word) and word.isupper() == family.isupper()
 
 
+def _capital_stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Bounds of all stretches without words in small letters that hold capitals and a digit."""
+    if not _CAPITALS.search(text):
+        return
+    done = 0
+    for a, b in [*(m.span() for m in _SMALL.finditer(text)), (len(text), len(text))]:
+        if a - done > 8 and _CAPITALS.search(text, done, a) and _HOUSE.search(text, done, a):
+            yield done, a
+        done = b
+
+
 def mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all mentions in the source text, in order."""
     view = plain(text)
@@ -282,11 +301,9 @@ def mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
         for p in _ADDRESSES:
             for m in p.finditer(t):
                 add("address", *m.span())
-        letters = sum(c.isupper() for c in t[:2000])
-        if letters > 0.5 * sum(c.isalpha() for c in t[:2000]):
-            title = re.sub(r"(?<=[^\W\d_])[^\W\d_]+", lambda m: m.group().lower() if len(m.group().lower()) == len(m.group()) else m.group(), t)
-            for p in _ADDRESSES:
-                for m in p.finditer(title):
+        for a, b in _capital_stretches(t):
+            for p in _IN_CAPITALS:
+                for m in p.finditer(t, a, b):
                     add("address", *m.span())
         for k, p in enumerate(_IDS):
             for m in p.finditer(t):

@@ -55,6 +55,14 @@ def test_address(place):
     assert found(f"goes by post to {place}; late ones don't") == [("address", place)]
 
 
+@pytest.mark.parametrize("place", ["12 BEACON AVENUE, BRACKWATER 40023", "PO BOX 1705, PORT ANSEL 40023", "STATION ROAD 91, FERNHOLLOW", "12 RUE DE LA PAIX, 75002 LYON", "AN DER MÜHLE 5, 66149 BAD MOORBACH", "HAUPTSTRAßE 5, 66149 NEUWINKEL"])
+def test_address_in_capitals_anywhere(place):
+    plain = "The stag walks over the hill and comes to rest. " * 50
+    for before, after in (("", "; late ones don't"), (plain + "It goes to ", "; late ones don't"), (plain + "SEND IT TO ", " BEFORE THE NEXT TURN"), ("THE STAG WALKS. " * 200 + "SEND IT TO ", " BY FRIDAY. " + plain)):
+        assert found(before + place + after) == [("address", place)]
+    assert found(plain + "ROLL 20 ON THE HILL, THEN REST; THE 3 OF THE OLD QUAY, AND LEVEL 3") == []
+
+
 @pytest.mark.parametrize("name", ["Emil Ashbrandt", "Emil S. Quillholt", "ROSE TARNWICK", "Ashwick, Kenji", "Zelda Birkenmont", "Inés Oskholt-Tarnbrandt", "Kenji\nQuillmont"])
 def test_name(name):
     assert found(f"we ask for {name} before the next turn") == [("name", name)]
