@@ -13,6 +13,9 @@ overlapping spans the earlier kind in this order wins, except that identity numb
 The list of names is incomplete, so family names are also known by their parts: an ending that at
 least ``min_family`` listed family names share, after a beginning of three letters or more.
 
+After a bare ``at`` the word ``point`` is a dot only before two letters that are no English word or a
+common end of domains, since "at this point" is plain English too.
+
 Defined results: null texts give null and no mentions, empty ones themselves; each row is treated by
 itself, so rows that come again give equal results; the whole of a text is read whatever its length;
 other columns are carried, one with the name of an added column as ``<name>_input``.
@@ -98,16 +101,26 @@ _SPELLED = re.compile(rf"\b(?:{_WORD})(?:[\s,-]+(?:{_WORD})){{4,}}\b", re.I)
 _ONE_WORD = re.compile(_WORD, re.I)
 _OPEN, _SHUT = r"[(\[{<]", r"[)\]}>]"
 # local part, a disguised or spaced at, and a domain whose dots may be disguised too; a bare word "at"
-# counts only where the domain's dots are words
+# counts only where the domain's dots are words, and as "at this point in" is plain English, only before
+# what can't be it: a "point" needs an end of domains after it, and articles and the like are no host
 _AT = rf"(?:\s*{_OPEN}\s*(?:at|a|@|ät|arroba|chez)\s*{_SHUT}\s*|\s*@\s*)"
 _SAID = r"\s+(?:dot|punkt|point|punto)\s+"
 _DOT = rf"(?:\s*{_OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{_SHUT}\s*|{_SAID}|\.(?=\w))"
 _LOCAL = r"[A-Za-z0-9](?:[A-Za-z0-9_%+'-]|\.(?=[A-Za-z0-9_]))*"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9]|-(?:\n[^\S\n]*)?(?=[A-Za-z0-9]))*"
+_BARE = r"\s+(?:at|arroba)\s+"
+_SURE = r"\s+(?:dot|punkt|punto)\s+"
+_ENDS = r"(?:com|net|org|edu|gov|mil|biz|info|example|invalid|localhost)\b"
+_TOP = rf"(?:{_ENDS}|(?!am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or|so|to|up|us|we)[a-z]{{2}}\b)"
+_ARTICLE = r"(?:a|an|any|each|every|her|his|its|my|no|one|our|some|that|the|their|these|this|those|what|which|your)"
+_HOST = rf"(?!{_ARTICLE}\s+point\s|{_ARTICLE}{_SURE}(?!{_ENDS}))"
 _DISGUISED = [
     re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)({_AT})({_LABEL}(?:{_DOT}{_LABEL}){{1,4}})(?![\w@])", re.I),
-    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)(\s+(?:at|arroba)\s+)({_LABEL}(?:{_SAID}{_LABEL}){{1,4}})(?![\w@])", re.I),
+    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)(\s+at\s+)({_HOST}(?:{_LABEL}(?:{_SAID}{_LABEL}){{0,3}}{_SAID}{_TOP}(?!{_SURE}{_LABEL})|{_LABEL}(?:{_SURE}{_LABEL}){{1,4}}))(?![\w@])", re.I),
+    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)(\s+arroba\s+)({_LABEL}(?:{_SAID}{_LABEL}){{1,4}})(?![\w@])", re.I),
 ]
+# what a text must hold for the first of them, and for the others
+_ANY_AT, _ANY_BARE, _ANY_SAID = (re.compile(p, re.I) for p in (_AT, _BARE, _SAID))
 _DOT_ONLY = re.compile(_DOT, re.I)
 
 
@@ -122,8 +135,11 @@ def plain(text: str) -> Plain:
     if not text.isascii():
         out = out.rewrite(_ODD, _look)
     out = out.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[w.lower()] for w in _ONE_WORD.findall(m.group())))
-    for pattern in _DISGUISED if re.search(r"@|\(a|\[a|\{a|\bat\b.*\bdot\b|\barroba\b", out.text, re.I | re.S) else ():
-        out = out.rewrite(pattern, _undisguise)
+    if _ANY_AT.search(out.text):
+        out = out.rewrite(_DISGUISED[0], _undisguise)
+    if (at := _ANY_BARE.search(out.text)) and _ANY_SAID.search(out.text, at.end()):
+        for pattern in _DISGUISED[1:]:
+            out = out.rewrite(pattern, _undisguise)
     return out
 
 

@@ -28,6 +28,12 @@ def test_email(text, mention):
     assert found(text) == [("email", mention)]
 
 
+@pytest.mark.parametrize("address", ["jo ( at ) mail.example", "jo <at> mail.example", "jo [ät] mail.example", "jo (chez) mail.example", "jo at host punkt de", "jo at mail point fr", "jo at one dot com", "jo arroba mail point lugar"])
+def test_every_disguise_counts_by_itself(address):
+    assert found(f"please write to {address}, thanks") == [("email", address)]
+    assert found("Look at this point in time. They came at the dot on the map, held at knife point by two.") == []
+
+
 @pytest.mark.parametrize("number", ["312-555-0177", "312‑555‑0177", "(030) 23125 461", "0049/30/23125214", "+44 20 7946 0319", "020 7946 0016", "+1 202 555 0101", "415.555.0192", "202 555 0129 ext. 6", "030 23125-884", "+33 1 99 00 94 97", "16175550120", "555-0137"])
 def test_phone(number):
     assert found(f"please call {number} during office hours") == [("phone", number)]
