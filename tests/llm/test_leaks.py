@@ -1,6 +1,6 @@
 import random
 
-from pagemill.llm import leaks
+from pagemill.llm import leaks, leaks_queries
 
 DOCS = "doc_id bigint, text string, item_id string, n_words int"
 ITEMS = "item_id bigint, text string, answer string"
@@ -43,6 +43,13 @@ def test_reparameterised(spark):
     assert got == {1: (3, True), 2: (1, False)}
 
 
+def test_short_reparameterised_runs_are_reported(spark, tmp_path):
+    words = ITEM.split()[:14]
+    spark.createDataFrame([(1, " ".join(words).replace("24", "7"), "x", 1)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, ITEM, "")], ITEMS).write.parquet(f"{tmp_path}/eval_items.parquet")
+    assert [tuple(r) for r in leaks_queries.p7_reparameterised(spark, str(tmp_path)).collect()] == [(1, 1, 14, 1, 1)]
+
+
 def test_blocks_of_items_beside_one(spark):
     rng = random.Random(3)
     bag = [f"w{i}" for i in range(30)]
