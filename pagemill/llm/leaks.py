@@ -4,7 +4,10 @@ Both sides become words in one form: the form of equal looks, lower case, words
 joined, marks and punctuation gone. Template canonicalisation then replaces numbers, dice, units and
 names by typed placeholders, and windows of ``window`` template words are hash-joined: each document
 rolls one hash over its template words and looks all of them up among the windows of the evaluation
-items. Hits in a row on one diagonal are runs. Within a run, words are compared as written, which gives
+items. Names are the words written with a capital inside a sentence, of the items and of the document
+itself; if a document so writes a word that items have as another word, its windows are looked up
+with all such words as names and with none, and within a run each may be either.
+Hits in a row on one diagonal are runs. Within a run, words are compared as written, which gives
 the literal quotations, and the values in the slots are compared for consistency: a run with changed
 values is a re-parameterised copy if equal values of the item stay equal in the document.
 
@@ -38,7 +41,9 @@ _BROKEN = re.compile(r"(?<=[^\W\d_])[-‐‑­¬][^\S\n]*\n\s*(?=[^\W\d_])")
 _DROP = re.compile(r"[^\w\s]|_")
 _NUMBER = re.compile(r"\d+(?:st|nd|rd|th)?")
 _DICE = re.compile(r"\d*d\d+")
-_SENTENCE_START = re.compile(r"(?:\A|[.!?:]\s+|\n)\W*$")
+# a word with all that stands between it and the word before, so that a text is read once
+_AFTER = re.compile(r"(?:\A|(?<=\w))(\W*)([^\W\d_]{3,})")
+_SENTENCE_END = re.compile(r"[.!?:]\s|\n")
 
 RUN_SCHEMA = "item_id bigint, doc_word int, item_word int, n_words int, literal_words int, slots int, changed int, consistent boolean"
 
@@ -56,7 +61,12 @@ def words_of(text: str) -> list[str]:
 def names_of(text: str) -> set[str]:
     """Words written with a capital inside a sentence."""
     text = canonical(text)
-    return {m.group().lower() for m in re.finditer(r"[^\W\d_]{3,}", text) if m.group()[0].isupper() and not m.group().isupper() and not _SENTENCE_START.search(text, 0, m.start())}
+    out = set()
+    for m in _AFTER.finditer(text):
+        between, word = m.groups()
+        if word[0].isupper() and not word.isupper() and m.start() and not _SENTENCE_END.search(between):
+            out.add(word.lower())
+    return out
 
 
 class Templates:
@@ -94,6 +104,7 @@ class Templates:
             return [self.code(w) for w in words]
 
 
+_NAME = np.uint64(xxhash.xxh64_intdigest("<name>"))
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -118,6 +129,7 @@ class Index:
         self.templates = Templates(set().union(*(names_of(t) for _, t in items)))
         self.ids = [i for i, _ in items]
         self.words = [words_of(t) for _, t in items]
+        self.literal = {w for words in self.words for w in words if self.templates.placeholder(w) is None}
         self.codes = [np.array(self.templates.encode(w), np.uint64) for w in self.words]
         hashes, item, position = [], [], []
         for k, codes in enumerate(self.codes):
@@ -131,25 +143,48 @@ class Index:
         self.item = (np.concatenate(item) if item else np.zeros(0, int))[order]
         self.position = (np.concatenate(position) if position else np.zeros(0, int))[order]
 
-    def runs(self, words: list[str], codes: np.ndarray, at: np.ndarray) -> Iterator[tuple]:
-        """Runs of a document whose windows at positions ``at`` hit."""
-        low = np.searchsorted(self.hashes, rolled_at := rolled(codes, self.window)[at], "left")
-        high = np.searchsorted(self.hashes, rolled_at, "right")
-        diagonals: dict[tuple[int, int], list[int]] = {}
-        for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
-            for j in range(a, b):
-                item, q = int(self.item[j]), int(self.position[j])
-                if (codes[p : p + self.window] == self.codes[item][q : q + self.window]).all():
-                    diagonals.setdefault((item, p - q), []).append(p)
+    def forms(self, text: str, words: list[str]) -> list[np.ndarray]:
+        """Template codes of a document: with its own names as names, where no item has them as other words.
+
+        If items have some, there is a second form in which these are names too.
+        """
+        codes = np.array(self.templates.encode(words), np.uint64)
+        own = {w for w in names_of(text) if self.templates.placeholder(w) is None}
+        if not own:
+            return [codes]
+        new = [i for i, w in enumerate(words) if w in own]
+        codes[[i for i in new if words[i] not in self.literal]] = _NAME
+        if all(words[i] not in self.literal for i in new):
+            return [codes]
+        every = codes.copy()
+        every[new] = _NAME
+        return [codes, every]
+
+    def runs(self, words: list[str], forms: list[np.ndarray], hits: list[np.ndarray]) -> Iterator[tuple]:
+        """Runs of a document whose windows at positions ``hits`` of each of its forms hit.
+
+        In a run each word may count in any of the forms.
+        """
+        diagonals: dict[tuple[int, int], set[int]] = {}
+        for codes, at in zip(forms, hits, strict=True):
+            low = np.searchsorted(self.hashes, rolled_at := rolled(codes, self.window)[at], "left")
+            high = np.searchsorted(self.hashes, rolled_at, "right")
+            for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
+                for j in range(a, b):
+                    item, q = int(self.item[j]), int(self.position[j])
+                    if (codes[p : p + self.window] == self.codes[item][q : q + self.window]).all():
+                        diagonals.setdefault((item, p - q), set()).add(p)
         for (item, shift), places in sorted(diagonals.items()):
-            start = previous = places[0]
-            for p in [*places[1:], None]:
-                if p is not None and p == previous + 1:
-                    previous = p
-                    continue
-                yield self._run(words, item, start, previous + self.window, shift)
-                if p is not None:
-                    start = previous = p
+            theirs = self.codes[item]
+            first, last = max(0, shift), min(len(words), len(theirs) + shift)
+            differs = np.logical_and.reduce([codes[first:last] != theirs[first - shift : last - shift] for codes in forms])
+            ends = np.flatnonzero(np.concatenate([[True], differs, [True]])) + first - 1  # of the stretches that agree
+            done = -1
+            for p in sorted(places):
+                if p >= done:
+                    k = int(np.searchsorted(ends, p, "right"))
+                    done = int(ends[k])
+                    yield self._run(words, item, int(ends[k - 1]) + 1, done, shift)
 
     def _run(self, words: list[str], item: int, start: int, end: int, shift: int) -> tuple:
         theirs = self.words[item]
@@ -183,22 +218,24 @@ def runs(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
                     part = batch.slice(piece, 512)
                     texts = part.column(1).to_pylist()
                     all_words = [words_of(t) for t in texts]
+                    all_forms = [index.forms(t, words) for t, words in zip(texts, all_words, strict=True)]
                     parts, starts, n = [], [], 0
-                    for words in all_words:
+                    for codes in (codes for forms in all_forms for codes in forms):
                         starts.append(n)
-                        codes = np.array(index.templates.encode(words), np.uint64)
                         parts += [codes, gap]  # no window of an item reaches over two documents
                         n += len(codes) + len(gap)
                     hashes = rolled(np.concatenate(parts), window) if parts else np.zeros(0, np.uint64)
                     i = np.searchsorted(index.hashes, hashes)
                     hit = np.flatnonzero(index.hashes[np.minimum(i, len(index.hashes) - 1)] == hashes) if len(index.hashes) else np.zeros(0, int)
-                    owner = np.searchsorted(np.array(starts), hit, "right") - 1
-                    found, rows = [], []
-                    for d in np.unique(owner).tolist():
-                        at = hit[owner == d] - starts[d]
-                        codes = parts[2 * d]
-                        at = at[at <= len(codes) - window]
-                        for r in index.runs(all_words[d], codes, at) if len(at) else ():
+                    bounds = np.searchsorted(hit, np.array([*starts, n])).tolist()
+                    found, rows, k = [], [], 0
+                    for d, forms in enumerate(all_forms):
+                        hits = []
+                        for codes in forms:
+                            at = hit[bounds[k] : bounds[k + 1]] - starts[k]
+                            hits.append(at[at <= len(codes) - window])
+                            k += 1
+                        for r in index.runs(all_words[d], forms, hits) if any(map(len, hits)) else ():
                             rows.append(d)
                             found.append(r)
                     columns = list(zip(*found, strict=True)) if found else [[]] * 8

@@ -43,6 +43,14 @@ def test_reparameterised(spark):
     assert got == {1: (3, True), 2: (1, False)}
 
 
+def test_names_of_the_document_are_names(spark):
+    item = "A party led by a bitter duelist finds a rose beside the iron toad, and Emeric must pass ten tests for the crown."
+    docs = [(1, item.replace("Emeric", "Balduin")), (2, item.replace("Emeric", "Rose")), (3, item.replace("iron toad", "Iron Toad")), (4, item.replace("Emeric", "balduin")), (5, item.replace("iron toad", "Iron Toad").replace("Emeric", "Balduin"))]
+    got = leaks.runs(spark.createDataFrame([(*d, "x", 1) for d in docs], DOCS), spark.createDataFrame([(1, item, "")], ITEMS))
+    n = len(item.split())
+    assert {(r.doc_id, r.n_words, r.changed) for r in got.collect()} == {(1, n, 1), (2, n, 1), (3, n, 0), (5, n, 1), (4, 15, 0)}
+
+
 def test_short_reparameterised_runs_are_reported(spark, tmp_path):
     words = ITEM.split()[:14]
     spark.createDataFrame([(1, " ".join(words).replace("24", "7"), "x", 1)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
