@@ -218,6 +218,9 @@ class Head:
 
     def __init__(self, title: str) -> None:
         self.key = _fold(title)[0]
+        self.short = len(self.key) < 6
+        # a short title that differs in capitals from the same word in running text
+        self.shouted = len(self.key) > 2 and not title.isupper()
         last = re.findall(r"\w+", title.lower())[-1:] or [""]
         self.hints = (last[0], " ".join(last[0]), _fold(last[0])[0])
 
@@ -229,11 +232,15 @@ _SPOKEN_AFTER = re.compile(r"\s*[,.;!?)”\"’]")
 
 
 def find_heads(text: str, heads: list[Head]) -> list[tuple[int, int]]:
-    """Spans of running heads in a text of one form."""
+    """Spans of running heads in a text of one form.
+
+    Titles of fewer than six letters or digits are words of the running text too: they count alone on a
+    line, beside another head, or in capitals if the title isn't; those of digits only don't count.
+    """
     low = text.lower()
-    spans = []
+    spans, short = [], {}
     for h in heads:
-        if len(h.key) < 6:
+        if not h.key or h.short and h.key.isdigit():
             continue
         for hint in {x for x in h.hints if x}:
             p = low.find(hint)
@@ -248,6 +255,8 @@ def find_heads(text: str, heads: list[Head]) -> list[tuple[int, int]]:
                         b += 1
                     if (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum()):
                         spans.append((a, b))
+                        if h.short:
+                            short[a, b] = h.shouted
                     start = folded.find(h.key, start + 1)
                 p = low.find(hint, p + 1)
     if not spans:
@@ -269,8 +278,11 @@ def find_heads(text: str, heads: list[Head]) -> list[tuple[int, int]]:
         spaced = bool(re.match(r"\w\s+\w\s+\w\s", found))
         if _SEPARATORS.fullmatch(rest_before) and _SEPARATORS.fullmatch(rest_after):
             out.append((a, b))
-        elif spaced or (found.isupper() and not _upper(rest_before + rest_after)):
+        elif spaced or (found.isupper() and not _upper(rest_before + rest_after) and short.get((a, b), True)):
             out.append((a, b))
+        elif (a, b) in short:
+            if any(y <= a and _SEPARATORS.fullmatch(text[y:a]) or b <= x and _SEPARATORS.fullmatch(text[b:x]) for x, y in spans if (x, y) not in short):
+                out.append((a, b))
         else:
             joined_to = any(y <= a and _SEPARATORS.fullmatch(text[y:a]) for x, y in spans[:i])
             if joined_to or not (_SPOKEN_BEFORE.search(rest_before) or _SPOKEN_AFTER.match(rest_after)):

@@ -104,6 +104,23 @@ def test_noises(lexicon, text, noises):
         assert _repair(fixed, lexicon=lexicon, reflowed=False) == (fixed, []), "nothing is left to repair"
 
 
+@pytest.mark.parametrize(
+    ("text", "noises"),
+    [
+        ("Oil\nThe first rule", ["header"]),
+        ("The first\n5 | OIL\nrule", ["header", "pageno"]),
+        ("The first OIL rule", ["header"]),
+        ("The first Oil · Chapter 2: Storms\nrule", ["header"]),
+        ("The first Oil rule", []),
+        ("The first rule costs AC 5", []),
+        ("AC\nThe first rule", ["header"]),
+        ("The first 12 rule\n12", []),
+    ],
+)
+def test_short_heads(lexicon, text, noises):
+    assert _repair(text, titles=("Oil", "AC", "12", "Chapter 2: Storms"), lexicon=lexicon, reflowed=False)[1] == noises
+
+
 def test_reflow(lexicon):
     assert _repair("The first\nrule of the\n\nstonemason\n5\n", lexicon=lexicon)[0] == "The first rule of the\n\nstonemason"
     assert _repair("- one\n- door", lexicon=lexicon, kind="list")[0] == "- one\n- door"
