@@ -25,18 +25,22 @@ def labels(spark, sf_dir):
     return sections.unionByName(down).distinct()
 
 
-def _kinds(spark, sf_dir):
+def _kinds(spark, sf_dir, rules=None):
     every = items(spark, sf_dir)
-    rules = quality.learn(every, labels(spark, sf_dir), ["book_id", "item_id"])
+    rules = rules if rules is not None else quality.learn(every, labels(spark, sf_dir), ["book_id", "item_id"])
     return quality.statistics(spread(every)).withColumn("kind", quality.kind_of(rules))
 
 
-def p5_found(spark, sf_dir):
-    """Texts of one section are of one kind, so the kinds of its texts vote."""
-    own = materialize(_kinds(spark, sf_dir).select("book_id", F.col("item_id").alias("item"), "kind"), "kinds")
+def voted(spark, sf_dir, rules=None):
+    """(book_id, item, kind): texts of one section are of one kind, so the kinds of its texts vote."""
+    own = materialize(_kinds(spark, sf_dir, rules).select("book_id", F.col("item_id").alias("item"), "kind"), "kinds")
     parts = table(spark, sf_dir, "sections").select("book_id", "section_id", F.explode("block_ids").alias("block_id"))
-    said = quality.agree(own, parts, "book_id", "section_id", "block_id")
-    return said.where("kind <> 'prose'").select("book_id", F.col("item").alias("item_id"), "kind").distinct()
+    return quality.agree(own, parts, "book_id", "section_id", "block_id")
+
+
+def p5_found(spark, sf_dir):
+    """Items that aren't prose by the vote of their section."""
+    return voted(spark, sf_dir).where("kind <> 'prose'").select("book_id", F.col("item").alias("item_id"), "kind").distinct()
 
 
 def p5_statistics(spark, sf_dir):

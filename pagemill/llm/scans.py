@@ -453,14 +453,18 @@ def repair(text: str | None, pages: list[int], heads: list[Head], lexicon: Lexic
     return (reflow(fixed) if reflowed and kind == "prose" else fixed), noises
 
 
-def repair_texts(df: DataFrame, lexicon: Lexicon, rules: list[Rule], text: str = "text", pages: str = "pages", heads: str = "heads", reflowed: bool = True) -> DataFrame:
-    """``df`` with ``repaired`` and ``noises``. ``pages`` is an array of numbers, ``heads`` of titles."""
+def repair_texts(df: DataFrame, lexicon: Lexicon, rules: list[Rule], text: str = "text", pages: str = "pages", heads: str = "heads", reflowed: bool = True, kinds: str | None = None) -> DataFrame:
+    """``df`` with ``repaired`` and ``noises``. ``pages`` is an array of numbers, ``heads`` of titles.
+
+    ``kinds`` names a column with kinds known already; where it is null the text's own is measured.
+    """
     df, renamed = make_room(df, ("repaired", "noises", "_r"))
     text, pages, heads = renamed[text], renamed[pages], renamed[heads]
+    known_kind = F.col(renamed[kinds]) if kinds else F.lit(None)
     shared = df.sparkSession.sparkContext.broadcast((lexicon.counts, lexicon.pairs, lexicon.max_edits, lexicon.least, rules))
 
     @F.pandas_udf("struct<repaired:string,noises:array<string>>")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         counts, pairs, edits, least, found_rules = shared.value
         words = Lexicon(counts, pairs, edits, least=least)
         known: dict[str, Head] = {}
@@ -472,23 +476,27 @@ def repair_texts(df: DataFrame, lexicon: Lexicon, rules: list[Rule], text: str =
                 known[title] = Head(canonical(title))
             return known[title]
 
-        for texts, numbers, titles in parts:
+        def kinds_for(asked: list[tuple], said: list) -> list[str]:
+            own = iter(kinds_of([t or "" for (t, *_), k in zip(asked, said, strict=True) if not isinstance(k, str)], found_rules))
+            return [k if isinstance(k, str) else next(own) for k in said]
+
+        for texts, numbers, titles, said in parts:
+            said = said.tolist()
             asked = [
                 (t, sorted({int(x) for x in p if x is not None and x == x}) if p is not None else [], [head(x) for x in h if x] if h is not None else [])
                 for t, p, h in zip(texts, numbers, titles, strict=True)
             ]
             if reflowed:
-                kinds = kinds_of([t or "" for t, _, _ in asked], found_rules)
-                rows = [repair(*x, words, kind, True) for x, kind in zip(asked, kinds, strict=True)]
+                rows = [repair(*x, words, kind, True) for x, kind in zip(asked, kinds_for(asked, said), strict=True)]
             else:
                 # prose has every noise the other kinds have, so only texts with some need their kind
                 rows = [repair(*x, words, "prose", False) for x in asked]
                 noisy = [i for i, (_, noises) in enumerate(rows) if noises]
-                for i, kind in zip(noisy, kinds_of([asked[i][0] for i in noisy], found_rules), strict=True):
+                for i, kind in zip(noisy, kinds_for([asked[i] for i in noisy], [said[i] for i in noisy]), strict=True):
                     if kind != "prose":
                         rows[i] = repair(*asked[i], words, kind, False)
             yield pd.DataFrame(rows, columns=["repaired", "noises"])
 
     run = run.asNondeterministic()
-    out = df.withColumn("_r", run(F.col(text), F.col(pages), F.col(heads)))
+    out = df.withColumn("_r", run(F.col(text), F.col(pages), F.col(heads), known_kind.cast("string")))
     return out.select(*df.columns, F.col("_r.repaired").alias("repaired"), F.col("_r.noises").alias("noises"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.llm import quality
-from pagemill.llm.quality_queries import items, labels
+from pagemill.llm.quality_queries import items, labels, voted
 from pagemill.llm.scans import build_lexicon, repair_texts
 from pagemill.session import materialize, spread, table, task_count
 
@@ -29,8 +29,10 @@ def _tools(spark, sf_dir):
     return build_lexicon(spread(table(spark, sf_dir, "blocks").where("type = 'text'").select("text"))), rules
 
 
-def _with_heads(spark, sf_dir, rows, key, entries):
-    """``rows`` with ``heads``: titles of the book and first entries of the path.
+def _with_heads(spark, sf_dir, rows, key, entries, rules):
+    """``rows`` with ``heads``, titles of the book and first entries of the path, and the voted ``kind``.
+
+    Texts of one key that are in no section and differ in kind get none; they count by themselves.
 
     The heads are put together by keys alone, so that a book that holds a large share of all blocks
     moves no text into one task; texts move by their own key.
@@ -39,13 +41,16 @@ def _with_heads(spark, sf_dir, rows, key, entries):
     heads = keys.join(entries, ["book_id", key], "left").join(_titles(spark, sf_dir), "book_id", "left")
     none = F.array().cast("array<string>")
     heads = heads.select("book_id", key, F.array_union(F.coalesce("titles", none), F.coalesce("entries", none)).alias("heads"))
+    kinds = voted(spark, sf_dir, rules).groupBy("book_id", F.col("item").alias(key)).agg(F.min("kind").alias("kind"), F.max("kind").alias("other"))
+    heads = heads.join(kinds.select("book_id", key, F.expr("if(kind = other, kind, null)").alias("kind")), ["book_id", key], "left")
     return rows.repartition(task_count(spark), "book_id", key).join(heads, ["book_id", key], "left")
 
 
 def _repaired_blocks(spark, sf_dir, reflowed):
     entries = _parts(spark, sf_dir).groupBy("book_id", "block_id").agg(F.collect_set("entry").alias("entries"))
-    rows = _with_heads(spark, sf_dir, _blocks(spark, sf_dir), "block_id", entries).withColumn("pages", F.array("page"))
-    return repair_texts(rows, *_tools(spark, sf_dir), reflowed=reflowed)
+    lexicon, rules = _tools(spark, sf_dir)
+    rows = _with_heads(spark, sf_dir, _blocks(spark, sf_dir), "block_id", entries, rules).withColumn("pages", F.array("page"))
+    return repair_texts(rows, lexicon, rules, reflowed=reflowed, kinds="kind")
 
 
 def p4_found(spark, sf_dir):
@@ -65,8 +70,9 @@ def p4_sections(spark, sf_dir):
     """Every section as continuous paragraphs."""
     sections = table(spark, sf_dir, "sections")
     entries = sections.groupBy("book_id", "section_id").agg(F.collect_set(F.try_element_at("toc", F.lit(1))).alias("entries"))
-    rows = _with_heads(spark, sf_dir, sections.select("book_id", "section_id", "text", "pages"), "section_id", entries)
-    return repair_texts(rows, *_tools(spark, sf_dir)).select("book_id", "section_id", F.col("repaired").alias("text"))
+    lexicon, rules = _tools(spark, sf_dir)
+    rows = _with_heads(spark, sf_dir, sections.select("book_id", "section_id", "text", "pages"), "section_id", entries, rules)
+    return repair_texts(rows, lexicon, rules, kinds="kind").select("book_id", "section_id", F.col("repaired").alias("text"))
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p4_blocks, p4_sections)}

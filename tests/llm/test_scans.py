@@ -139,6 +139,16 @@ def test_frame(spark, lexicon):
     assert scans.repair_texts(spark.createDataFrame([], BLOCKS), lexicon, JUNK).count() == 0
 
 
+@pytest.mark.parametrize("reflowed", [True, False])
+def test_known_kinds_go_before_own(spark, lexicon, reflowed):
+    rows = [(1, "fir5t #~", [5], [], "prose"), (2, "The fir5t rule", [5], [], "junk"), (3, "The fir5t rule", [5], [], None), (4, "The first\n5\nrule", [5], [], "list"), (5, "@@ fir5t ##", [5], [], None)]
+    got = scans.repair_texts(spark.createDataFrame(rows, BLOCKS.replace("noises", "kind")), lexicon, JUNK, reflowed=reflowed, kinds="kind").collect()
+    own = {r.id: r.noises for r in scans.repair_texts(spark.createDataFrame(rows, BLOCKS.replace("noises", "kind")), lexicon, JUNK, reflowed=reflowed).collect()}
+    by = {r.id: r.noises for r in got}
+    assert by == {1: ["misread"], 2: [], 3: ["misread"], 4: [], 5: own[5]}
+    assert own[2] == own[3] == ["misread"] and own[4] == ["pageno"]
+
+
 def test_lexicon_counts_the_whole_corpus(spark):
     texts = spark.createDataFrame([("The storm never turns",)] * 40 + [("the storrn turns 12 times",)] + [(None,), ("",)], "text string")
     made = scans.build_lexicon(texts)
