@@ -14,7 +14,9 @@ the neighbours of the place, then by frequency. A frequent word that a far more
 into by such an edit is a misreading itself and leaves the vocabulary.
 
 What is sent to the tasks is bounded: words and pairs below a share of all words are left out, so
-there are at most ``1 / share`` of each, whatever the size of the corpus.
+there are at most ``1 / share`` of each, whatever the size of the corpus. Only words of at least
+``3 * share`` and 5 occurrences are in the trie. Rarer words aren't restored when misread, and words
+below ``share`` aren't joined when cut; in a large library that holds for words special to one book.
 
 Defined results: null texts give null and no noise, blank ones stay; a text that is junk by the rules
 of problem 5 has no noise and stays; a null page has no page number, a missing head no header; rows
