@@ -201,7 +201,37 @@ def same_look(text: Column) -> Column:
     return F.coalesce(_canonical_udf(F.when(text.rlike(r"[^\t\n\x20-\x7e]"), text)), text)
 
 
-def look_pairs(df: DataFrame, group: str = "book_id", key: str = "block_id", fields: tuple[str, ...] = ("text", "title")) -> DataFrame:
+def _writings(df: DataFrame, group: str, key: str, fields: tuple[str, ...]) -> DataFrame:
+    """(g, field, f, r, k): hashes of form and writing of every value whose form has another writing than itself.
+
+    The transducer runs once over all values; what it found is written as keys and 128-bit hashes.
+    """
+    one = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("raw")) for f in fields]
+    rows = df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.explode(F.array(*one)).alias("v")).select("g", "k", "v.field", "v.raw")
+    rows = rows.where("g is not null and k is not null and raw is not null").withColumn("form", same_look(F.col("raw"))).where(r"form rlike '\\S'")
+    hashed = materialize(rows.select("g", "k", "field", F.unhex(F.md5(F.col("form").cast("binary"))).alias("f"), F.unhex(F.md5(F.col("raw").cast("binary"))).alias("r")), "look-hashes")
+    odd = hashed.where("f <> r").select("g", "field", "f").distinct()
+    return hashed.join(odd, ["g", "field", "f"], "left_semi").distinct()
+
+
+def look_classes(df: DataFrame, group: str = "book_id", key: str = "block_id", fields: tuple[str, ...] = ("text", "title")) -> DataFrame:
+    """Classes of equal look: (group, key, field, class_id, writing_id, n_members, n_links), a row for each member and writing.
+
+    Only classes with more than one writing are given. ``class_id`` and ``writing_id`` are hashes of the
+    form and of the value as written; a member is linked to the members of its class that are written
+    otherwise. All links of a class follow from these rows, which grow with the members, not with pairs.
+    """
+    members = _writings(df, group, key, fields)
+    # counted by writing first, so that many copies of one value are merged before they move
+    written = members.groupBy("g", "field", "f", "r").agg(F.count("*").alias("n"))
+    classes = written.groupBy("g", "field", "f").agg(F.sum("n").alias("n_members"), F.count("*").alias("n_writings")).where("n_writings > 1")
+    counts = written.join(classes, ["g", "field", "f"])
+    rows = members.join(counts, ["g", "field", "f", "r"])
+    text = lambda c: F.lower(F.hex(c))
+    return rows.select(F.col("g").alias(group), F.col("k").alias(key), "field", text("f").alias("class_id"), text("r").alias("writing_id"), "n_members", (F.col("n_members") - F.col("n")).alias("n_links"))
+
+
+def look_pairs(df: DataFrame, group: str = "book_id", key: str = "block_id", fields: tuple[str, ...] = ("text", "title"), salts: int = 8) -> DataFrame:
     """Pairs of rows of one group whose values of a field look the same but are written differently.
 
     Returns distinct (group, key_a, key_b, field), key_a the smaller string. Null and blank values are
@@ -209,17 +239,14 @@ def look_pairs(df: DataFrame, group: str = "book_id", key: str = "block_id", fie
 
     Only values that are not in their one form can open a pair, so the search starts from their
     hashes; everything shuffled is keys and 128-bit hashes, never text. Pairs are joined from pairs
-    of spellings, so rows with the same spelling never meet.
+    of writings, so rows written alike never meet, and the members of one writing are spread over
+    ``salts`` tasks.
     """
-    one = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("raw")) for f in fields]
-    rows = df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.explode(F.array(*one)).alias("v")).select("g", "k", "v.field", "v.raw")
-    rows = rows.where("g is not null and k is not null and raw is not null").withColumn("form", same_look(F.col("raw"))).where(r"form rlike '\\S'")
-    hashed = rows.select("g", "k", "field", F.unhex(F.md5(F.col("form").cast("binary"))).alias("f"), F.unhex(F.md5(F.col("raw").cast("binary"))).alias("r"))
-    odd = hashed.where("f <> r").select("g", "field", "f").distinct()
-    members = materialize(hashed.join(odd, ["g", "field", "f"], "left_semi").distinct(), "look-members")
-    spelling = members.select("g", "field", "f", "r").distinct()
-    both = spelling.select("g", "field", "f", F.col("r").alias("ra")).join(spelling.select("g", "field", "f", F.col("r").alias("rb")), ["g", "field", "f"]).where("ra < rb")
-    a = members.select("g", "field", F.col("r").alias("ra"), F.col("k").alias("ka"))
+    members = materialize(_writings(df, group, key, fields), "look-members")
+    writing = members.select("g", "field", "f", "r").distinct()
+    both = writing.select("g", "field", "f", F.col("r").alias("ra")).join(writing.select("g", "field", "f", F.col("r").alias("rb")), ["g", "field", "f"]).where("ra < rb").drop("f")
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    a = members.select("g", "field", F.col("r").alias("ra"), F.col("k").alias("ka"), F.pmod(F.xxhash64("k"), F.lit(salts)).cast("int").alias("s"))
     b = members.select("g", "field", F.col("r").alias("rb"), F.col("k").alias("kb"))
-    out = both.join(a, ["g", "field", "ra"]).join(b, ["g", "field", "rb"]).where("ka <> kb")
+    out = both.withColumn("s", salt).join(a, ["g", "field", "ra", "s"]).join(b, ["g", "field", "rb"]).where("ka <> kb")
     return out.select(F.col("g").alias(group), F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b"), "field").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagemill.llm.looks import look_pairs, same_look
+from pagemill.llm.looks import look_classes, look_pairs, same_look
 from pagemill.session import table
 
 
@@ -12,11 +12,16 @@ def p2_found(spark, sf_dir):
     return look_pairs(table(spark, sf_dir, "blocks"))
 
 
+def p2_classes(spark, sf_dir):
+    """Members of every class of equal look that has more than one writing, with their number of links."""
+    return look_classes(table(spark, sf_dir, "blocks"))
+
+
 def p2_blocks(spark, sf_dir):
     """Every block with text and title in their one form."""
     blocks = table(spark, sf_dir, "blocks").select("book_id", "block_id", "text", "title").dropDuplicates(["book_id", "block_id"])
     return blocks.select("book_id", "block_id", same_look(F.col("text")).alias("text"), same_look(F.col("title")).alias("title"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_blocks)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_blocks)}
 ORACLES: dict[str, str] = {}

@@ -17,9 +17,10 @@ and stands in some container; rows with equal keys are separate items; other col
 
 from __future__ import annotations
 
+import base64
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -28,24 +29,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.session import materialize
+from pagemill.session import materialize, task_count
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how texts are cut before byte pairs are merged, for vocabularies given as ranks.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_LOADED: dict[str, object] = {}
+_LOADED: dict[str, Callable[[list[str]], list[int]]] = {}
 
 
-def load_tokenizer(path: str):
-    """A tokenizer of the ``tokenizers`` library from its file, once per process."""
-    if path not in _LOADED:
-        from tokenizers import Tokenizer
+def load_tokenizer(path: str) -> Callable[[list[str]], list[int]]:
+    """Sizes of texts by a tokenizer from its file, made once per process.
 
+    ``.tiktoken`` files hold ranks of byte pairs, others are files of the ``tokenizers`` library.
+    Special tokens in a text count as ordinary text.
+    """
+    if path not in _LOADED:
         if not Path(path).exists():
             raise FileNotFoundError(f"tokenizer file {path} isn't there on this machine")
-        one = Tokenizer.from_file(path)
-        one.encode_special_tokens = True
-        one.no_truncation()
-        _LOADED[path] = one
+        if path.endswith(".tiktoken"):
+            import tiktoken
+
+            pairs = (line.split() for line in Path(path).read_bytes().splitlines() if line)
+            ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+            encoding = tiktoken.Encoding(Path(path).stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            _LOADED[path] = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+        else:
+            from tokenizers import Tokenizer
+
+            one = Tokenizer.from_file(path)
+            one.encode_special_tokens = True
+            one.no_truncation()
+            _LOADED[path] = lambda texts: [len(e) for e in one.encode_batch_fast(texts, add_special_tokens=False)]
     return _LOADED[path]
 
 
@@ -63,8 +78,8 @@ def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
             # small batches, so that the encodings of long texts don't pile up
             for i in range(0, len(texts), 64):
                 some = [(j, t) for j, t in enumerate(texts.iloc[i : i + 64], i) if t is not None]
-                for (j, _), e in zip(some, one.encode_batch_fast([t for _, t in some], add_special_tokens=False), strict=True):
-                    sizes[j] = len(e)
+                for (j, _), n in zip(some, one([t for _, t in some]), strict=True):
+                    sizes[j] = n
             yield pd.Series(sizes, dtype="Int64")
 
     return count(text)
@@ -143,7 +158,9 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int =
         at, _ = fill(rows["n_tokens"].tolist(), capacity)
         return rows.assign(container=[f"s{s}:{w}" for s, w in zip(rows["shard"], at, strict=True)])[["k", "piece_no", "start_token", "n_tokens", "shard", "container"]]
 
-    shared = pieces.where(~full).groupBy("shard").applyInPandas(run, "k string, piece_no int, start_token bigint, n_tokens int, shard int, container string")
+    # by a number, which Spark doesn't merge however few bytes there are: the work of a shard is in its merging
+    parts = min(shards, 4 * task_count(df.sparkSession))
+    shared = pieces.where(~full).repartition(parts, "shard").groupBy("shard").applyInPandas(run, "k string, piece_no int, start_token bigint, n_tokens int, shard int, container string")
     without = sized.where("n is null").select("k", F.lit(None).cast("int").alias("piece_no"), F.lit(None).cast("bigint").alias("start_token"), F.lit(None).cast("int").alias("n_tokens"), F.lit(None).cast("int").alias("shard"), F.lit(None).cast("string").alias("container"))
     out = shared.unionByName(alone).unionByName(without)
     return out.withColumn(key, F.col("k").cast(df.schema[key].dataType)).select(key, "piece_no", "start_token", "n_tokens", "shard", "container")

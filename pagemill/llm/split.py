@@ -99,6 +99,8 @@ def split_oversized(df: DataFrame, text: str = "text", headings: str | None = "h
         for texts, heads in parts:
             yield pd.Series([None if t is None else [(i, a, b, k, t[a:b]) for i, (a, b, k) in enumerate(cut(t, limit, overlap, None if h is None else list(h)))] for t, h in zip(texts, heads, strict=True)])
 
+    # not deterministic: never evaluated a second time below a filter on the number of pieces
+    pieces = pieces.asNondeterministic()
     over = F.char_length(F.col(text)) > limit
     heads = F.col(headings).cast("array<string>") if headings else F.lit(None).cast("array<string>")
     whole = F.array(F.struct(F.lit(0).alias("piece_no"), F.when(F.col(text).isNotNull(), F.lit(0)).alias("piece_start"), F.char_length(text).alias("piece_end"), F.lit("end").alias("boundary"), F.col(text).alias("piece_text")))

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagemill.llm.looks import LOOKALIKES, Transducer, canonical, look_pairs, same_look, transducer
+from pagemill.llm.looks import LOOKALIKES, Transducer, canonical, look_classes, look_pairs, same_look, transducer
 
 ODD = "aé́̈ﬁﬀＡ１　  ​‍­﻿⁠\u0007\x0b\r\n\tаеорсΑΒοɡһԁｶﾞ가각“”‘’–—-æŒßĳ🎲мה門"
 
@@ -73,3 +73,14 @@ def test_a_hot_title_gives_only_pairs_of_different_spelling(spark):
     rows = [(1, f"b{i:05d}", "text", None, "Songs", "") for i in range(3000)] + [(1, "zz", "text", None, "Ѕongs", "")]
     assert look_pairs(spark.createDataFrame(rows, BLOCKS)).count() == 3000
     assert look_pairs(spark.createDataFrame([], BLOCKS)).count() == 0
+
+
+def test_classes_hold_all_links(spark):
+    rows = [(1, f"b{i}", "text", t, h) for i, (t, h) in enumerate([("Ａ", "x"), ("A", "х"), ("A", "x"), ("А", None), ("B", " "), ("A", "y")])] + [(2, "b0", "text", "A", "x"), (1, "b1", "text", "A", "х")]
+    df = spark.createDataFrame([(*r, "f") for r in rows], BLOCKS)
+    got = {(r.book_id, r.block_id, r.field): (r.n_members, r.n_links) for r in look_classes(df).collect()}
+    links: dict = {}
+    for g, a, b, f in _brute(rows):
+        for k in (a, b):
+            links[g, k, f] = links.get((g, k, f), 0) + 1
+    assert {k: n for k, (_, n) in got.items()} == links and got[1, "b0", "text"] == (5, 4)
