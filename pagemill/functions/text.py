@@ -18,7 +18,7 @@ WS = r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{20
 WC = r"[\p{L}\p{N}_]"
 # Quotes and dashes, and what they become; bullets become a hyphen.
 QUOTES_FROM, QUOTES_TO = "“”‘’–—", "\"\"''--"
-BULLETS = "•◦∙·‣▪▫"
+BULLETS = "•◦∙·‣▪▫–—"
 
 
 def strip(c: Column) -> Column:

@@ -43,23 +43,34 @@ def carry_titles(classified: DataFrame) -> DataFrame:
     return classified.withColumn("title", F.last(own, ignorenulls=True).over(_so_far()))
 
 
-def assemble(spans: DataFrame, layout: DataFrame, columns: int = 2, prose_font: float | None = 9.0, min_overlap: float = 0.3, crop_dir: str = "crops") -> DataFrame:
-    """Blocks of every page. Each table region gives one block where its first span is read."""
+def _assembled(spans: DataFrame, layout: DataFrame, columns: int, prose_font: float | None, min_overlap: float, crop_dir: str) -> DataFrame:
+    """Blocks with ``page_index`` and, for tables, ``layout_idx`` of their region."""
     rows = carry_titles(classify(spans, layout, columns, prose_font, min_overlap)).where("kind <> 'noise'")
     of_table = Window.partitionBy(*PAGE_KEYS, "table_idx", "kind").orderBy("seq")
     rows = rows.withColumn("opens", (F.col("kind") == "table") & (F.row_number().over(of_table) == 1) & F.col("table_idx").isNotNull())
     rows = rows.withColumn("island", F.sum(F.when((F.col("kind") == "title") | F.col("opens"), 1).otherwise(0)).over(_so_far()))
     kept = rows.where("kind = 'prose' or opens")
-    runs = kept.groupBy(*PAGE_KEYS, "island", F.when(F.col("opens"), "table").otherwise("text").alias("type")).agg(
-        F.min("seq").alias("first_seq"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " ").alias("words"), F.min_by("title", "seq").alias("title")
-    )
+    words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " ")
+    runs = kept.groupBy(*PAGE_KEYS, "island", F.when(F.col("opens"), "table").otherwise("text").alias("type")).agg(F.min("seq").alias("first_seq"), words.alias("words"), F.min_by("title", "seq").alias("title"), F.min_by("table_idx", "seq").alias("table_idx"))
     order = F.row_number().over(Window.partitionBy(*PAGE_KEYS).orderBy("first_seq")) - 1
     named = runs.withColumn("order_id", order).withColumn("page", F.col("page_index") + 1)
     is_text = F.col("type") == "text"
     block_id = F.format_string("%s_%d_%05d", F.when(is_text, "blk").otherwise("tbl"), "page", "order_id")
     named = named.withColumn("block_id", block_id)
     crop = F.when(~is_text, F.concat(F.lit(crop_dir + "/"), "block_id", F.lit(".png")))
-    return named.select("doc_id", "block_id", "order_id", "page", "type", F.when(is_text, F.col("words")).alias("text"), "title", crop.alias("image_crop"))
+    return named.select("doc_id", "block_id", "order_id", "page", "type", F.when(is_text, F.col("words")).alias("text"), "title", crop.alias("image_crop"), "page_index", F.when(~is_text, F.col("table_idx")).alias("layout_idx"))
+
+
+def assemble(spans: DataFrame, layout: DataFrame, columns: int = 2, prose_font: float | None = 9.0, min_overlap: float = 0.3, crop_dir: str = "crops") -> DataFrame:
+    """Blocks of every page. Each table region gives one block where its first span is read."""
+    return _assembled(spans, layout, columns, prose_font, min_overlap, crop_dir).drop("page_index", "layout_idx")
+
+
+def table_regions(spans: DataFrame, layout: DataFrame, columns: int = 2, prose_font: float | None = 9.0, min_overlap: float = 0.3, crop_dir: str = "crops") -> DataFrame:
+    """(doc_id, page_index, block_id, image_crop, x0 .. y1): the region of every table block."""
+    made = _assembled(spans, layout, columns, prose_font, min_overlap, crop_dir).where("type = 'table'")
+    regions = layout.select(*PAGE_KEYS, "layout_idx", "x0", "y0", "x1", "y1")
+    return made.join(regions, [*PAGE_KEYS, "layout_idx"]).select(*PAGE_KEYS, "block_id", "image_crop", "x0", "y0", "x1", "y1")
 
 
 def crop_boxes(regions: DataFrame, width: int | str = "width", height: int | str = "height", padding: int = 8) -> DataFrame:

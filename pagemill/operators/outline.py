@@ -1,14 +1,15 @@
 """Outline of a document from the lines of its contents page.
 
-Entries keep their place ``toc_seq``; the tree is an adjacency (``parent_seq``) with paths, found by one
-fold over the entries before each entry. Contents pages have hundreds of lines at most, which bounds
-the arrays of the fold.
+Entries keep their place ``toc_seq``; the tree is an adjacency (``parent_seq``) with paths. The entries of
+one document meet in one task: they are the lines of its contents pages.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.functions.text import WS, rstrip, strip
 
@@ -48,15 +49,28 @@ def entries(lines: DataFrame) -> DataFrame:
 
 
 def tree(found: DataFrame) -> DataFrame:
-    """Entries with ``parent_seq``, the nearest entry before with a smaller level, and ``path``, the titles from the top."""
-    before = F.collect_list(F.struct("toc_seq", "level", "title")).over(_before())
-    walked = F.aggregate(
-        F.reverse("_before"),
-        F.struct(F.col("level").alias("l"), F.array().cast("array<string>").alias("p"), F.lit(None).cast("int").alias("parent")),
-        lambda a, z: F.when(z["level"] < a["l"], F.struct(z["level"].alias("l"), F.concat(a["p"], F.array(z["title"])).alias("p"), F.coalesce(a["parent"], z["toc_seq"]).alias("parent"))).otherwise(a),
-    )
-    out = found.withColumn("_before", before).withColumn("_w", walked)
-    return out.withColumn("parent_seq", F.col("_w.parent")).withColumn("path", F.concat(F.reverse("_w.p"), F.array("title"))).drop("_before", "_w")
+    """Entries with ``parent_seq``, the nearest entry before with a smaller level, and ``path``, the titles from the top.
+
+    One pass over the entries of a document with a stack of the open ones, linear in their number.
+    """
+    seq = found.schema["toc_seq"].dataType
+    added = T.StructType([T.StructField("parent_seq", seq), T.StructField("path", T.ArrayType(T.StringType()))])
+
+    def walk(entries: pa.Table) -> pa.Table:
+        entries = entries.sort_by("toc_seq")
+        parents, paths = [], []
+        open_at: list[tuple[int, int, list]] = []  # level, place, path
+        for place, level, title in zip(*(entries.column(c).to_pylist() for c in ("toc_seq", "level", "title")), strict=True):
+            while open_at and open_at[-1][0] >= level:
+                open_at.pop()
+            _, parent, path = open_at[-1] if open_at else (None, None, [])
+            open_at.append((level, place, [*path, title]))
+            parents.append(parent)
+            paths.append(open_at[-1][2])
+        kept = entries.append_column("parent_seq", pa.array(parents, entries.schema.field("toc_seq").type))
+        return kept.append_column("path", pa.array(paths, pa.list_(pa.string())))
+
+    return found.groupBy("doc_id").applyInArrow(walk, T.StructType([*found.schema.fields, *added.fields]))
 
 
 def inherit_pages(found: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import has_text, is_blank, normalize_title, strip
+from pagemill.operators.attach import ORDER
 from pagemill.operators.runs import number_stretches
+from pagemill.session import materialize
 
 # Marks around a heading inside the text of a section.
 HEADING_PREFIX, HEADING_SUFFIX = "<<<HEADING:", ">>>"
@@ -25,10 +27,14 @@ def mark_headings(text_blocks: DataFrame) -> DataFrame:
 
 
 def sections(text_blocks: DataFrame) -> DataFrame:
-    """One row per section. A path that comes again opens a new section."""
-    rows = number_stretches(mark_headings(text_blocks), "toc", "_s")
-    part = F.struct("page", "order_id", "text", "block_id", F.when(F.col("is_heading"), F.col("title")).alias("head"))
-    found = rows.groupBy("doc_id", "_s").agg(F.min_by("toc", F.struct("page", "order_id")).alias("toc"), F.array_sort(F.collect_list(part)).alias("_p"))
+    """One row per section. A path that comes again opens a new section.
+
+    The blocks are written once, marked, since they are numbered by their paths before their texts move.
+    """
+    marked = materialize(mark_headings(text_blocks), "marked-blocks")
+    rows = number_stretches(marked, "toc", "_s", order=ORDER)
+    part = F.struct(*ORDER, "text", F.when(F.col("is_heading"), F.col("title")).alias("head"))
+    found = rows.groupBy("doc_id", "_s").agg(F.min_by("toc", F.struct(*ORDER)).alias("toc"), F.array_sort(F.collect_list(part)).alias("_p"))
     found = found.withColumn("_h", F.filter(F.transform("_p", lambda x: x["head"]), lambda x: x.isNotNull()))
     return found.select(
         "doc_id",

@@ -31,12 +31,16 @@ def overlap_pairs(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3)
 def first_matches(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3) -> DataFrame:
     """Spans with ``label`` of the first covering region and ``table_idx`` of the first covering table.
 
-    One outer join and one aggregation, both within the page: where the spans already lie by page, they
-    don't move. A span that comes twice counts once.
+    The tens of regions of a page are put together once, in list order, and each span looks through
+    them: no pairs, no aggregation over spans, and where the spans already lie by page they don't move.
     """
-    pairs = _on_page(spans, layout, "left", min_overlap)
-    own = [F.col(f"s.{c}").alias(c) for c in spans.columns]
-    return pairs.groupBy(*own).agg(F.min_by("r.label", "r.layout_idx").alias("label"), F.min(F.when(F.col("r.label") == TABLE_LABEL, F.col("r.layout_idx"))).alias("table_idx"))
+    region = F.struct("layout_idx", "label", "x0", "y0", "x1", "y1")
+    of_page = layout.groupBy(*PAGE_KEYS).agg(F.array_sort(F.collect_list(region)).alias("_regions"))
+    over = lambda r: covers(box(), tuple(r[c] for c in ("x0", "y0", "x1", "y1")), min_overlap)
+    found = spans.join(of_page, list(PAGE_KEYS), "left").withColumn("_over", F.filter("_regions", over))
+    first = F.try_element_at("_over", F.lit(1))
+    table = F.try_element_at(F.filter("_over", lambda r: r["label"] == TABLE_LABEL), F.lit(1))
+    return found.select(*spans.columns, first["label"].alias("label"), table["layout_idx"].alias("table_idx"))
 
 
 def content_spans(spans: DataFrame, layout: DataFrame, min_overlap: float = 0.3) -> DataFrame:

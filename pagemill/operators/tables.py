@@ -22,19 +22,17 @@ SUCCESS_WAIT, RETRY_WAIT = 4, 3
 
 ANSWER = "columns array<string>, rows array<map<string,string>>, description string"
 
-SYSTEM_PROMPT = """You turn pictures of tables into data.
-Answer with one JSON object and nothing else: no code fence, no remarks.
-Copy every cell as a string. Give every row as an object keyed by column name, the same names in each row.
-Where the header is missing or unclear, take names from the layout, the path or the title; where it stands in the middle of the table, treat it as the header.
-Always say in a short sentence what the table shows."""
-
-PROMPT = """Where the table stands:
-Path: %s
+SYSTEM_PROMPT = """The user sends a picture of one table cut out of a scanned page. Read it into a record.
+The record is a JSON object with three fields, and your whole answer is that object:
+"description": a string, "columns": an array of strings, "rows": an array of objects with string values.
+Every object in "rows" has exactly the names in "columns" as its keys. A cell without ink is "".
+Don't guess at what can't be read: leave such a cell "" as well. Names of columns that aren't printed may be made up."""
+
+PROMPT = """Path: %s
 Title: %s
 
-Answer with this object:
-{"columns": [names], "rows": [{name: value}], "description": text}
-The description says what the table is about, what a row stands for and what the columns mean."""
+The path and the title say where in its document the table stands; use them to name columns without a name.
+In "description", tell in one or two sentences what the table is for, what one row is, and what each column holds."""
 
 
 class RateLimited(Exception):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_LEAVES: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     key = spark.sparkContext.applicationId
     if key not in _OWN_DIR:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         _OWN_DIR[key] = "file://" + tempfile.mkdtemp(prefix="pagemill-")
     return _OWN_DIR[key]
@@ -50,26 +52,62 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
     Cuts the lineage with files that outlive any executor, gives the reader exact sizes (so that
     Spark may choose a broadcast by itself) and keeps a plan used several times from running again.
+    The files go when the session ends, or before by :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pagemill/{tag}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Folder of this application in the shared one; the JVM deletes it when it closes its file systems."""
+    folder = f"{shared_dir(spark)}/pagemill/{spark.sparkContext.applicationId}"
+    if folder not in _LEAVES:
+        _LEAVES.add(folder)
+        files, at = _file_system(spark, folder)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+    return folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that was materialized in this session. Frames made from it can't be read any more."""
+    for folder in [f for f in _LEAVES if f.endswith(f"/{spark.sparkContext.applicationId}")]:
+        files, at = _file_system(spark, folder)
+        files.delete(at, True)
+        _LEAVES.discard(folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of files up to which an input of few partitions is spread over the cores.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores.
+    """``df`` over at least as many partitions as there are cores, if its files are small.
 
-    For work that costs far more than moving its input. Only inputs of fewer partitions than cores are
-    moved, that is, small ones; ``df`` must be a scan with projections and filters.
+    For work that costs far more than moving its input. The results are the same either way; inputs of
+    more than ``SPREAD_BYTES``, by the sizes of their files, stay in the partitions of their scan.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = 0
+    for f in df.inputFiles():
+        files, at = _file_system(spark, f)
+        size += files.getFileStatus(at).getLen()
+    return df.repartition(cores) if size <= SPREAD_BYTES else df
 
 
 def task_count(spark: SparkSession) -> int:

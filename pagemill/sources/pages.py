@@ -31,12 +31,17 @@ def page_manifest(documents: DataFrame, image_dir: str = "pages", dpi: int = 300
     return pages.select("doc_id", "page_index", F.lit(dpi).alias("dpi"), F.concat(F.lit(image_dir + "/"), F.format_string("page_%04d.png", F.col("page_index") + 1)).alias("image_path"))
 
 
-def render_pages(files: DataFrame, renderer: Callable[[], Renderer], done: DataFrame | None = None, image_dir: str = "pages", dpi: int = 300) -> DataFrame:
-    """Pages with size and image bytes from (doc_id, content). Pages in ``done`` (doc_id, page_index) come without."""
+def render_pages(files: DataFrame, renderer: Callable[[], Renderer], done: DataFrame | None = None, image_dir: str = "pages", dpi: int = 300, range_pages: int = 64) -> DataFrame:
+    """Pages with size and image bytes from (doc_id, content). Pages in ``done`` (doc_id, page_index) come without.
+
+    A file goes to the workers once for each ``range_pages`` pages that have any page to render, and a
+    worker opens it for that range and gives its pages one by one.
+    """
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = renderer()
+        one = None
         for pdf in parts:
+            one = one or renderer()
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "page_count": [one.page_count(c) for c in pdf["content"]]})
 
     manifest = page_manifest(files.select("doc_id", "content").mapInPandas(count, "doc_id bigint, page_count int"), image_dir, dpi)
@@ -47,12 +52,16 @@ def render_pages(files: DataFrame, renderer: Callable[[], Renderer], done: DataF
         cached = manifest.join(done.select("doc_id", "page_index").distinct(), ["doc_id", "page_index"], "left_semi")
 
     def render(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = renderer()
+        one = None
         for pdf in parts:
-            made = [one.render(c, p, dpi) for c, p in zip(pdf["content"], pdf["page_index"], strict=True)]
-            yield pdf[["doc_id", "page_index", "dpi", "image_path"]].assign(width=[m[0] for m in made], height=[m[1] for m in made], image=[m[2] for m in made])
-
-    fresh = due.join(files.select("doc_id", "content"), "doc_id").mapInPandas(render, "doc_id bigint, page_index int, dpi int, image_path string, width int, height int, image binary")
+            for doc, content, pages in zip(pdf["doc_id"], pdf["content"], pdf["_pages"], strict=True):
+                one = one or renderer()
+                for page, path in sorted((p["page_index"], p["image_path"]) for p in pages):
+                    width, height, image = one.render(content, page, dpi)
+                    yield pd.DataFrame({"doc_id": [doc], "page_index": [page], "dpi": [dpi], "image_path": [path], "width": [width], "height": [height], "image": [image]})
+
+    ranges = due.groupBy("doc_id", F.floor(F.col("page_index") / range_pages).alias("_range")).agg(F.collect_list(F.struct("page_index", "image_path")).alias("_pages"))
+    fresh = files.select("doc_id", "content").join(ranges, "doc_id").mapInPandas(render, "doc_id bigint, page_index int, dpi int, image_path string, width int, height int, image binary")
     none = lambda t: F.lit(None).cast(t)
     return fresh.unionByName(cached.withColumns({"width": none("int"), "height": none("int"), "image": none("binary")})).select("doc_id", "page_index", "width", "height", "dpi", "image_path", "image")
 
@@ -70,16 +79,30 @@ def unnest_spans(raw: DataFrame, dpi: int = 300) -> DataFrame:
     return spans.select("doc_id", "page_index", order.alias("region_idx"), "text", F.col("span.size").alias("size"), at(0).alias("x0"), at(1).alias("y0"), at(2).alias("x1"), at(3).alias("y1"))
 
 
-def recognise(pages: DataFrame, recogniser: Callable[[], Callable[[bytes | None, str], list]], dpi: int = 300) -> DataFrame:
-    """Spans of pages from an injected recogniser ``f(image, path) -> blocks``."""
+def _seen(pages: DataFrame, looker: Callable[[], Callable[[bytes | None, str], list]], column: str, kind: str) -> DataFrame:
+    """What an injected ``f(image, path) -> list`` says of each page; made once per worker that has any page."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = recogniser()
+        one = None
         for pdf in parts:
             images = pdf["image"] if "image" in pdf else [None] * len(pdf)
-            yield pdf[["doc_id", "page_index"]].assign(blocks=[one(i, p) for i, p in zip(images, pdf["image_path"], strict=True)])
+            said = []
+            for image, path in zip(images, pdf["image_path"], strict=True):
+                one = one or looker()
+                said.append(one(image, path) or [])
+            yield pdf[["doc_id", "page_index"]].assign(**{column: said})
+
+    return pages.mapInPandas(run, kind)
 
-    return unnest_spans(pages.mapInPandas(run, schema.RAW_PAGE), dpi)
+
+def recognise_raw(pages: DataFrame, recogniser: Callable[[], Callable[[bytes | None, str], list]]) -> DataFrame:
+    """Nested recognition results (schema.RAW_PAGE) of pages, a row also for pages without text."""
+    return _seen(pages, recogniser, "blocks", schema.RAW_PAGE)
+
+
+def recognise(pages: DataFrame, recogniser: Callable[[], Callable[[bytes | None, str], list]], dpi: int = 300) -> DataFrame:
+    """Spans of pages from an injected recogniser ``f(image, path) -> blocks``."""
+    return unnest_spans(recognise_raw(pages, recogniser), dpi)
 
 
 def keep_regions(regions: DataFrame, min_confidence: float = 0.5) -> DataFrame:
@@ -87,25 +110,28 @@ def keep_regions(regions: DataFrame, min_confidence: float = 0.5) -> DataFrame:
     return regions.where((F.col("confidence") >= min_confidence) | F.col("label").isin(*NOISE_LABELS))
 
 
-def detect(pages: DataFrame, detector: Callable[[], Callable[[bytes | None, str], list]], min_confidence: float = 0.5) -> DataFrame:
-    """Layout regions of pages from an injected detector ``f(image, path) -> [{score, label, coordinate}]``.
+def detect_raw(pages: DataFrame, detector: Callable[[], Callable[[bytes | None, str], list]]) -> DataFrame:
+    """All boxes of pages (schema.RAW_LAYOUT) as detected, a row also for pages without any."""
+    return _seen(pages, detector, "boxes", schema.RAW_LAYOUT)
 
-    ``layout_idx`` counts the regions that were kept, in the order of the result.
-    """
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = detector()
-        for pdf in parts:
-            images = pdf["image"] if "image" in pdf else [None] * len(pdf)
-            yield pdf[["doc_id", "page_index"]].assign(boxes=[one(i, p) or [] for i, p in zip(images, pdf["image_path"], strict=True)])
+def regions_of(raw: DataFrame, min_confidence: float = 0.5) -> DataFrame:
+    """Layout regions of enough confidence from detected boxes.
 
-    found = pages.mapInPandas(run, schema.RAW_LAYOUT).select("doc_id", "page_index", F.posexplode("boxes").alias("i", "box"))
+    ``layout_idx`` counts the regions that were kept, in the order of the result.
+    """
+    found = raw.select("doc_id", "page_index", F.posexplode("boxes").alias("i", "box"))
     at = lambda i: F.col("box.coordinate")[i].cast("int")
     rows = keep_regions(found.select("doc_id", "page_index", "i", F.col("box.label").alias("label"), F.col("box.score").alias("confidence"), at(0).alias("x0"), at(1).alias("y0"), at(2).alias("x1"), at(3).alias("y1")), min_confidence)
     order = F.row_number().over(Window.partitionBy("doc_id", "page_index").orderBy("i")) - 1
     return rows.select("doc_id", "page_index", order.alias("layout_idx"), "label", "confidence", "x0", "y0", "x1", "y1")
 
 
+def detect(pages: DataFrame, detector: Callable[[], Callable[[bytes | None, str], list]], min_confidence: float = 0.5) -> DataFrame:
+    """Layout regions of pages from an injected detector ``f(image, path) -> [{score, label, coordinate}]``."""
+    return regions_of(detect_raw(pages, detector), min_confidence)
+
+
 def read_images(spark: SparkSession, path: str, pattern: str = "*.png") -> DataFrame:
     """(path, image): files as bytes. Raises when the folder has none."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)

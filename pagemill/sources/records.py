@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import schema
 
 
-def write_blocks(blocks: DataFrame, path: str) -> None:
-    """Blocks as JSON, a folder per document and page. Pages written before and not now stay as they are."""
-    out = blocks.withColumn("_doc", F.col("doc_id")).withColumn("_page", F.col("page"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_doc", "_page").option("ignoreNullFields", "false").json(path)
+def write_blocks(blocks: DataFrame, path: str, mode: str = "append") -> None:
+    """Blocks as JSON, in as many files as the plan has partitions, whatever the number of pages.
+
+    Each writing has its time. A page written again replaces what it had, pages not written now stay.
+    """
+    now = time.time_ns() // 1000
+    blocks.withColumn("written", F.lit(now)).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """All blocks under a path. Order lies in page and order_id, never in file names."""
-    return spark.read.schema(schema.BLOCK).option("recursiveFileLookup", "true").json(path)
+    """All blocks under a path, each page as it was written last. Order lies in page and order_id, never in file names."""
+    rows = spark.read.schema(f"{schema.BLOCK}, written bigint").json(path)
+    last = rows.groupBy(F.col("doc_id").alias("_d"), F.col("page").alias("_p")).agg(F.max("written").alias("_w"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("page").eqNullSafe(F.col("_p")) & F.col("written").eqNullSafe(F.col("_w"))
+    return rows.join(last, same, "left_semi").drop("written")
+
+
+def latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """One row for each key: that of the greatest ``by``, a null the least; of equal ones some row."""
+    rest = [c for c in df.columns if c not in keys]
+    found = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(by)).alias("_r"))
+    return found.select(*(c if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
 
 
 def read_block_arrays(spark: SparkSession, path: str, doc_id: int = 0) -> DataFrame:
@@ -47,37 +66,55 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_images(images: DataFrame, root: str) -> None:
-    """Writes (image_path, image) as files under a folder that all workers share; rows without image are left out.
+    """Writes (image_path, image) as files under a folder that all workers reach; rows without image are left out.
 
+    ``root`` is a path or a URI of any file system Arrow knows (``file``, ``hdfs``, ``s3``, ``gs`` ...).
     Each file appears whole: it is written beside its place and moved there.
     """
 
-    def put(rows) -> None:
-        import os
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
-        from pathlib import Path
 
-        for row in rows:
-            place = Path(root) / row.image_path
-            place.parent.mkdir(parents=True, exist_ok=True)
-            beside = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
-            beside.write_bytes(bytes(row.image))
-            os.replace(beside, place)
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(root)
+        there: set[str] = set()
+        for batch in batches:
+            for path, image in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                place = f"{base.rstrip('/')}/{path}"
+                folder, _, name = place.rpartition("/")
+                if folder not in there:
+                    files.create_dir(folder, recursive=True)
+                    there.add(folder)
+                beside = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with files.open_output_stream(beside) as out:
+                    out.write(image.as_buffer())
+                files.move(beside, place)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    images.where("image is not null").select("image_path", "image").foreachPartition(put)
+    images.where("image is not null").select("image_path", "image").mapInArrow(put, "n bigint").write.format("noop").mode("overwrite").save()
 
 
 def crop_images(boxes: DataFrame, pages: DataFrame, cropper) -> DataFrame:
-    """(image_path, image) of regions: ``cropper() -> f(image, x0, y0, x1, y1) -> bytes``, made once per worker.
+    """``boxes`` with ``image``: ``cropper() -> f(image, x0, y0, x1, y1) -> bytes``, made once per worker.
 
-    ``boxes`` has doc_id, page_index, image_path and crop_x0 .. crop_y1; ``pages`` doc_id, page_index, image.
+    ``boxes`` has doc_id, page_index and crop_x0 .. crop_y1; ``pages`` doc_id, page_index, image. The
+    boxes of a page are put together first, so that its image moves and is sent to Python once.
     """
+    own = [c for c in boxes.columns if c not in ("doc_id", "page_index")]
+    of_page = boxes.groupBy("doc_id", "page_index").agg(F.collect_list(F.struct(*own)).alias("_boxes"))
+    kind = T.StructType([*boxes.schema.fields, T.StructField("image", T.BinaryType())])
 
-    def run(parts):
-        one = cropper()
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        one = None
         for pdf in parts:
-            cut = [one(i, a, b, c, d) for i, a, b, c, d in zip(pdf["image"], pdf["crop_x0"], pdf["crop_y0"], pdf["crop_x1"], pdf["crop_y1"], strict=True)]
-            yield pdf[["image_path"]].assign(image=cut)
-
-    joined = boxes.join(pages.select("doc_id", "page_index", "image"), ["doc_id", "page_index"])
-    return joined.mapInPandas(run, "image_path string, image binary")
+            rows = []
+            for doc, page, image, found in zip(pdf["doc_id"], pdf["page_index"], pdf["image"], pdf["_boxes"], strict=True):
+                one = one or cropper()
+                for b in found:
+                    cut = one(image, *(b[f"crop_{c}"] for c in ("x0", "y0", "x1", "y1")))
+                    rows.append({"doc_id": doc, "page_index": page, **{c: b[c] for c in own}, "image": cut})
+            yield pd.DataFrame(rows, columns=kind.names)
+
+    joined = pages.select("doc_id", "page_index", "image").join(of_page, ["doc_id", "page_index"])
+    return joined.mapInPandas(run, kind)

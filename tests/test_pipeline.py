@@ -188,3 +188,25 @@ def test_retries():
     assert tables.ask_with_retries(_Client(["x"] * 3), "p", None, wait=waits.append) == ("x", "failed")
     with pytest.raises(KeyError):
         tables.ask_with_retries(_Client([KeyError()]), "p", None, wait=waits.append)
+
+
+def test_blocks_without_page_or_order_stay(spark):
+    rows = [(1, "a", 0, None, "text", "t1", None, None), (1, "b", 1, None, "text", "t2", "T", None), (1, "c", 0, 1, "table", None, "Races", "crop"), (1, "d", 1, 1, "text", "t3", None, None), (None, "e", None, None, "text", "t4", None, None), (1, "f", None, 1, "text", "t0", "  ", None)]
+    blocks = spark.createDataFrame(rows, schema.BLOCK)
+    entries = spark.createDataFrame([(1, 0, "races", 1, 0), (1, 1, "T", 900, 0)], schema.OUTLINE_ENTRY)
+    tree = outline.tree(entries)
+    matched = {r.block_id: r.matched_seq for r in attach.match_outline(blocks, tree).collect()}
+    assert matched == {"a": None, "b": 1, "c": 0, "d": None, "e": None, "f": None}, "without a page no entry starts too late"
+    got = {r.block_id: (r.toc, r.text) for r in attach.text_blocks(blocks, tree).collect()}
+    assert got == {"a": ([], "t1"), "b": (["T"], "t2"), "f": (["T"], "t0\n\nt3"), "e": ([], "t4")}
+    assert [(r.block_id, r.toc) for r in attach.table_blocks(blocks, tree).collect()] == [("c", ["races"])]
+    found = {(r.doc_id, r.section_id): (r.text, r.pages, r.block_ids) for r in sections.sections(attach.text_blocks(blocks, tree)).collect()}
+    assert found[1, "sec_000000"] == ("t1", [None], ["a"]) and found[None, "sec_000000"] == ("t4", [None], ["e"])
+    assert found[1, "sec_000001"] == ("t2\n\n<<<HEADING:    >>>\n\nt0\n\nt3", [None, 1], ["b", "f"])
+
+
+def test_latest_row_of_each_key(spark):
+    from pagemill.sources.records import latest
+
+    df = spark.createDataFrame([(1, "a", "old", 1), (1, "a", "new", 2), (2, "a", "only", None), (1, "a", "none", None)], "d int, k string, v string, at int")
+    assert sorted((r.d, r.k, r.v) for r in latest(df, ["d", "k"], "at").collect()) == [(1, "a", "new"), (2, "a", "only")]
