@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pagemill.plans import nested_queries, oracles, queries
+from pagemill.plans import library, nested_queries, oracles, queries
 
-QUERIES = queries.QUERIES | nested_queries.QUERIES
-ORACLES = oracles.ORACLES | nested_queries.ORACLES
+QUERIES = queries.QUERIES | library.QUERIES | nested_queries.QUERIES
+ORACLES = oracles.ORACLES | library.ORACLES | nested_queries.ORACLES
 flagship = queries.flagship

@@ -85,7 +85,7 @@ NOISY = """noisy AS (SELECT doc_id, regexp_replace(CASE doc_id % 8 WHEN 0 THEN r
 def toc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of contents pages in reading order: (doc_id, toc_seq, text, size)."""
     docs = table(spark, sf_dir, "documents").where("text is not null")
-    base = F.trim(F.substring(F.substring_index("text", "\n", 1), 1, 20))
+    base = F.trim(F.substring_index("text", "\n", 1))
     seq, k = F.pmod(_d(), F.lit(20)), F.pmod(_d(), F.lit(5))
     text = (
         F.when(k == 1, (10 + F.pmod(_d(), F.lit(90))).cast("string"))
@@ -100,7 +100,7 @@ def toc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOC_LINES = """toc_lines AS (SELECT d // 20 AS doc_id, (d % 20)::INT AS toc_seq,
   CASE d % 5 WHEN 1 THEN (10 + d % 90)::VARCHAR WHEN 3 THEN b WHEN 4 THEN b || '....' ELSE b || repeat('.', (2 + d % 6)::INT) || ' ' || (1 + d % 200)::VARCHAR END AS text,
   ([18e0, 14e0, 11e0])[(d * 7) % 3 + 1] AS size
-  FROM (SELECT doc_id AS d, trim(substring(split_part(text, chr(10), 1), 1, 20), ' ') AS b FROM documents WHERE text IS NOT NULL))"""
+  FROM (SELECT doc_id AS d, trim(split_part(text, chr(10), 1), ' ') AS b FROM documents WHERE text IS NOT NULL))"""
 
 
 def outline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,15 +139,15 @@ blocks_in AS (SELECT 0::BIGINT AS doc_id, printf('%s_%d_%05d', CASE WHEN d % 11
   FROM (SELECT doc_id AS d, text FROM noisy) JOIN nation ON n_nationkey = (d * 7) % 25 JOIN region ON r_regionkey = d % 5)"""
 
 
-def scores(spark: SparkSession, sf_dir: str, most: int = 8) -> DataFrame:
-    """Score matrices for the order model, at most eight regions a page: (doc_id, page_index, row, col, score)."""
-    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.least(F.size(F.split("text", "\n")), F.lit(most)).alias("m"))
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score matrices for the order model, a region for each line: (doc_id, page_index, row, col, score)."""
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.size(F.split("text", "\n")).alias("m"))
     rows = docs.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     return rows.select("doc_id", _d().cast("int").alias("page_index"), "row", "col", (F.pmod(_d() * 7 + F.col("row") * 13 + F.col("col") * 29, F.lit(101)) / 101.0).cast("double").alias("score"))
 
 
 SCORES = """scores AS (SELECT doc_id, doc_id::INT AS page_index, r::INT AS "row", c::INT AS col, ((doc_id * 7 + r * 13 + c * 29) % 101)::DOUBLE / 101e0 AS score
-  FROM (SELECT doc_id, m, r, unnest(range(m)) AS c FROM (SELECT doc_id, m, unnest(range(m)) AS r FROM (SELECT doc_id, least(len(string_split(text, chr(10))), 8) AS m FROM documents WHERE text IS NOT NULL))))"""
+  FROM (SELECT doc_id, m, r, unnest(range(m)) AS c FROM (SELECT doc_id, m, unnest(range(m)) AS r FROM (SELECT doc_id, len(string_split(text, chr(10))) AS m FROM documents WHERE text IS NOT NULL))))"""
 
 
 def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:

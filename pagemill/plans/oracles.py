@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pagemill.functions.text import BULLETS
+import unicodedata
+
 from pagemill.plans import fixtures as fx
-from pagemill.schema import NOISE_LABELS, TITLE_LABELS
+
+# Fixed values, written out here and not taken from the engine, so that they are checked too.
+NOISE_LABELS = ("footer", "number", "image", "aside_text")
+TITLE_LABELS = ("paragraph_title", "figure_title")
+BULLETS = "•◦∙·‣▪▫–—"
 
 _WS_IN = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _WS = f"[{_WS_IN}]"
@@ -15,7 +20,7 @@ def _quoted(names):
     return ", ".join(f"'{n}'" for n in names)
 
 
-def _strip(c):
+def strip(c):
     return f"regexp_replace({c}, '\\A{_WS}+|{_WS}+\\z', '', 'g')"
 
 
@@ -28,6 +33,22 @@ def _unicode(c):
     return f"translate(replace(replace({c}, 'ﬁ', 'fi'), '…', '...'), '“”‘’–—', '\"\"''''--')"
 
 
+def compatible(c):
+    """Compatibility composition: characters that stand for others are replaced by these, then all is composed."""
+    ranges = [*range(0xA0, 0x250), *range(0x2000, 0x2500), *range(0x3000, 0x3400), *range(0xF900, 0xFB50), *range(0xFE30, 0xFFF0)]
+    said = {ch: unicodedata.normalize("NFKC", ch) for ch in map(chr, ranges) if unicodedata.decomposition(ch).startswith("<")}
+    said = {k: v for k, v in said.items() if "\0" not in v}
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    table = f"map([{', '.join(map(quoted, said))}], [{', '.join(map(quoted, said.values()))}])"
+    odd = f"list_transform(regexp_extract_all({c}, '(?s)[^\\x00-\\x7f]|[\\x00-\\x7f]+'), lambda x: coalesce({table}[x], x))"
+    return f"CASE WHEN regexp_matches({c}, '[^\\x00-\\x7f]') THEN nfc_normalize(array_to_string({odd}, '')) ELSE {c} END"
+
+
+def clean(c):
+    """The whole cleaning of a text in compatible form."""
+    return _space(_hyphen(_bullets(f"translate(replace({_control(c)}, '…', '...'), '“”‘’–—', '\"\"\'\'\'\'--')")))
+
+
 def _bullets(c):
     return f"translate({c}, '{BULLETS}', '{'-' * len(BULLETS)}')"
 
@@ -40,18 +61,18 @@ def _hyphen(c):
 
 def _space(c):
     runs = f"regexp_replace({c}, '[ ' || chr(9) || ']{{2,}}', ' ', 'g')"
-    return _strip(f"regexp_replace({runs}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
+    return strip(f"regexp_replace({runs}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
 def _text(c):
     return _space(_hyphen(_bullets(_unicode(_control(c)))))
 
 
-def _title(c):
+def title_key(c):
     # no look-around: word characters around "chapter" are told by splitting at non-word characters
     words = f"list_transform(regexp_extract_all(lower({c}), '{_WC}+|[^\\pL\\pN_]+'), lambda w: CASE WHEN w = 'chapter' THEN 'ch' ELSE w END)"
     bare = f"regexp_replace(array_to_string({words}, ''), '[^\\pL\\pN_{_WS_IN}]', '', 'g')"
-    return _strip(f"regexp_replace({bare}, '{_WS}+', ' ', 'g')")
+    return strip(f"regexp_replace({bare}, '{_WS}+', ' ', 'g')")
 
 
 _COMMON = """
@@ -78,24 +99,24 @@ numbered AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, page_index ORDER
 
 _TOC = rf"""{fx.TOC_LINES},
 leveled AS (SELECT *, (dense_rank() OVER (PARTITION BY doc_id ORDER BY size DESC) - 1)::INT AS level FROM toc_lines),
-bare AS (SELECT *, regexp_replace(regexp_replace({_strip('text')}, '\.{{2,}}{_WS}*\z', ''), '{_WS}+\z', '') AS t FROM leveled),
+bare AS (SELECT *, regexp_replace(regexp_replace({strip('text')}, '\.{{2,}}{_WS}*\z', ''), '{_WS}+\z', '') AS t FROM leveled),
 counted AS (SELECT *, regexp_full_match(t, '\p{{Nd}}+') AS digits, sum((NOT regexp_full_match(t, '\p{{Nd}}+'))::INT) OVER (PARTITION BY doc_id ORDER BY toc_seq ROWS UNBOUNDED PRECEDING) AS e FROM bare),
 later AS (SELECT doc_id, e, arg_min(try_cast(t AS INT), toc_seq) AS page FROM counted WHERE digits GROUP BY ALL),
-entries AS (SELECT c.doc_id, c.toc_seq, CASE WHEN regexp_matches(t, '\A[^\n]+?\.{{2,}}{_WS}*\p{{Nd}}+\z') THEN {_strip(f"regexp_extract(t, '\\A([^\\n]+?)\\.{{2,}}{_WS}*\\p{{Nd}}+\\z', 1)")} ELSE t END AS title,
+entries AS (SELECT c.doc_id, c.toc_seq, CASE WHEN regexp_matches(t, '\A[^\n]+?\.{{2,}}{_WS}*\p{{Nd}}+\z') THEN {strip(f"regexp_extract(t, '\\A([^\\n]+?)\\.{{2,}}{_WS}*\\p{{Nd}}+\\z', 1)")} ELSE t END AS title,
   coalesce(CASE WHEN regexp_matches(t, '\A[^\n]+?\.{{2,}}{_WS}*\p{{Nd}}+\z') THEN try_cast(regexp_extract(t, '([0-9]+)\z', 1) AS INT) END, l.page) AS page_start, level
   FROM counted c LEFT JOIN later l ON l.doc_id = c.doc_id AND l.e = c.e WHERE NOT digits)"""
-_TREE = """
+TREE = """
 parents AS (SELECT c.doc_id, c.toc_seq, max(p.toc_seq) AS parent_seq FROM {entries} c LEFT JOIN {entries} p ON p.doc_id = c.doc_id AND p.toc_seq < c.toc_seq AND p.level < c.level GROUP BY ALL),
 paths AS (SELECT e.doc_id, e.toc_seq, [e.title] AS path FROM {entries} e JOIN parents p ON p.doc_id = e.doc_id AND p.toc_seq = e.toc_seq WHERE p.parent_seq IS NULL
   UNION ALL SELECT e.doc_id, e.toc_seq, list_append(b.path, e.title) FROM paths b JOIN parents p ON p.doc_id = b.doc_id AND p.parent_seq = b.toc_seq JOIN {entries} e ON e.doc_id = p.doc_id AND e.toc_seq = p.toc_seq)"""
-_PAGES = """
+PAGES = """
 firsts AS (SELECT p.doc_id, p.parent_seq AS toc_seq, min(p.toc_seq) AS child FROM parents p WHERE p.parent_seq IS NOT NULL GROUP BY ALL),
 inherited AS (SELECT doc_id, toc_seq, toc_seq AS at, page_start FROM entries
   UNION ALL SELECT i.doc_id, i.toc_seq, f.child, e.page_start FROM inherited i JOIN firsts f ON f.doc_id = i.doc_id AND f.toc_seq = i.at JOIN entries e ON e.doc_id = f.doc_id AND e.toc_seq = f.child WHERE i.page_start IS NULL),
 pages AS (SELECT doc_id, toc_seq, max(page_start) AS page_start FROM inherited GROUP BY ALL)"""
 
-_ATTACH = f"""{fx.BLOCKS}, {fx.OUTLINE}, {_TREE.format(entries='outline')},
-keyed AS (SELECT o.toc_seq, {_title('o.title')} AS key, o.page_start, p.path FROM outline o JOIN paths p ON p.toc_seq = o.toc_seq)"""
+_ATTACH = f"""{fx.BLOCKS}, {fx.OUTLINE}, {TREE.format(entries='outline')},
+keyed AS (SELECT o.toc_seq, {title_key('o.title')} AS key, o.page_start, p.path FROM outline o JOIN paths p ON p.toc_seq = o.toc_seq)"""
 _MATCHED = """
 kept AS (SELECT * FROM blocks_in WHERE {where}),
 matched AS (SELECT b.block_id, min(k.toc_seq) AS matched_seq, arg_min(k.path, k.toc_seq) AS matched_path FROM kept b JOIN keyed k ON b.title <> '' AND {title} = k.key AND (k.page_start IS NULL OR b.page >= k.page_start) GROUP BY ALL),
@@ -103,7 +124,7 @@ carried AS (SELECT b.*, coalesce(last_value(m.matched_path IGNORE NULLS) OVER (O
 
 
 def _attached(skip):
-    return f"WITH RECURSIVE {_ATTACH}, {_MATCHED.format(where='page NOT IN (1, 2, 177, 178, 179)' if skip else 'true', title=_title('b.title'))}"
+    return f"WITH RECURSIVE {_ATTACH}, {_MATCHED.format(where='page NOT IN (1, 2, 177, 178, 179)' if skip else 'true', title=title_key('b.title'))}"
 
 
 _TEXTS = f"""{_attached(True)},
@@ -111,8 +132,8 @@ grouped AS (SELECT *, row_number() OVER (ORDER BY page, order_id) AS n, sum((coa
 texts AS (SELECT arg_min(block_id, n) AS block_id, arg_min(page, n) AS page, arg_min(order_id, n) AS order_id, arg_min(title, n) FILTER (WHERE title IS NOT NULL) AS title, arg_min(toc, n) AS toc, string_agg({_text('text')}, chr(10) || chr(10) ORDER BY n) AS text
   FROM grouped GROUP BY CASE WHEN g = 0 THEN n ELSE -g END)"""
 _HEADED = f"""{_TEXTS},
-filled AS (SELECT * REPLACE ({_strip('text')} AS text) FROM texts WHERE {_strip('text')} <> ''),
-headed AS (SELECT *, coalesce(title, '') <> '' AND len(toc) > 0 AND coalesce(toc[-1], '') <> '' AND {_title('title')} <> {_title('toc[-1]')} AS is_heading FROM filled),
+filled AS (SELECT * REPLACE ({strip('text')} AS text) FROM texts WHERE {strip('text')} <> ''),
+headed AS (SELECT *, coalesce(title, '') <> '' AND len(toc) > 0 AND coalesce(toc[-1], '') <> '' AND {title_key('title')} <> {title_key('toc[-1]')} AS is_heading FROM filled),
 marked AS (SELECT * REPLACE (CASE WHEN is_heading THEN '<<<HEADING: ' || title || ' >>>' || chr(10) || chr(10) || text ELSE text END AS text) FROM headed)"""
 _SECTIONS = f"""{_HEADED},
 opened AS (SELECT *, row_number() OVER (ORDER BY page, order_id) AS n, (lag(toc) OVER (ORDER BY page, order_id) IS DISTINCT FROM toc OR row_number() OVER (ORDER BY page, order_id) = 1)::INT AS o FROM marked),
@@ -126,9 +147,9 @@ def _each(column):
 
 ORACLES = {
     "page_manifest": "SELECT doc_id, i::INT AS page_index, 300 AS dpi, printf('pages/page_%04d.png', i + 1) AS image_path FROM (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL)",
-    "ocr_unnest": f"WITH {fx.SPANS} SELECT doc_id, page_index, (row_number() OVER (PARTITION BY doc_id ORDER BY region_idx) - 1)::INT AS region_idx, {_strip('text')} AS text, size, "
+    "ocr_unnest": f"WITH {fx.SPANS} SELECT doc_id, page_index, (row_number() OVER (PARTITION BY doc_id ORDER BY region_idx) - 1)::INT AS region_idx, {strip('text')} AS text, size, "
     + ", ".join(f"trunc({c} * 0.24e0 * (300e0 / 72e0))::INT AS {c}" for c in ("x0", "y0", "x1", "y1"))
-    + f" FROM spans WHERE {_strip('text')} <> ''",
+    + f" FROM spans WHERE {strip('text')} <> ''",
     "ocr_scale": f"WITH {fx.SPANS} SELECT doc_id, region_idx, " + ", ".join(f"trunc({c} * 0.24e0 * (300e0 / 72e0))::INT AS {c}" for c in ("x0", "y0", "x1", "y1")) + " FROM spans",
     "layout_filter": f"WITH {fx.RAW_LAYOUT} SELECT * FROM raw_layout WHERE confidence >= 0.8e0 OR label IN ({_quoted(NOISE_LABELS)})",
     "page_extent": f"{_ORDER} SELECT * FROM extent",
@@ -137,8 +158,13 @@ ORACLES = {
     "reading_order": f"{_ORDER} SELECT doc_id, page_index, region_idx, seq FROM ordered",
     "model_inputs": f"""{_ORDER}, b AS (SELECT doc_id, page_index, region_idx, concat_ws(',', trunc(x0::DOUBLE / max_x * 1000)::INT, trunc(y0::DOUBLE / max_y * 1000)::INT, trunc(x1::DOUBLE / max_x * 1000)::INT, trunc(y1::DOUBLE / max_y * 1000)::INT) AS box FROM spans JOIN extent USING (doc_id, page_index))
 SELECT doc_id, page_index, '0,' || string_agg('3', ',') || ',2' AS input_ids, '1,' || string_agg('1', ',') || ',1' AS attention_mask, '0,0,0,0;' || string_agg(box, ';' ORDER BY region_idx) || ';0,0,0,0' AS bbox FROM b GROUP BY ALL""",
-    "assign_collisions": f"""WITH {fx.SCORES}, best AS (SELECT doc_id, page_index, "row", arg_max(col, score) AS position FROM scores GROUP BY ALL)
+    "assign_collisions": f"""WITH {fx.SCORES}, best AS (SELECT doc_id, page_index, "row", arg_max(col, score * 1000000 + col) AS position FROM scores GROUP BY ALL)
 SELECT doc_id, page_index, position, string_agg("row"::VARCHAR, ',' ORDER BY "row") AS rows FROM best GROUP BY ALL HAVING count(*) > 1""",
+    # of all scores of a page the highest is settled first, then the highest of the rows and positions left
+    "assign_order": f"""WITH RECURSIVE {fx.SCORES}, sorted AS (SELECT doc_id, page_index, list(("row" * 65536 + col) ORDER BY score DESC, col DESC, "row") AS l FROM scores GROUP BY ALL),
+picks AS (SELECT doc_id, page_index, l[1] AS x, list_filter(l, lambda y: y // 65536 <> l[1] // 65536 AND y % 65536 <> l[1] % 65536) AS l FROM sorted
+  UNION ALL SELECT doc_id, page_index, l[1], list_filter(l, lambda y: y // 65536 <> l[1] // 65536 AND y % 65536 <> l[1] % 65536) FROM picks WHERE len(l) > 0)
+SELECT doc_id, page_index, (x // 65536)::INT AS region_idx, (x % 65536)::INT AS position FROM picks""",
     "overlap_pairs": f"{_PAIRS} SELECT * FROM pairs",
     "first_layout_match": f"{_PAIRS} SELECT doc_id, region_idx, f.label FROM spans LEFT JOIN firsts f USING (doc_id, region_idx)",
     "first_table_match": f"{_PAIRS} SELECT doc_id, region_idx, table_idx FROM firsts WHERE table_idx IS NOT NULL",
@@ -151,11 +177,16 @@ SELECT doc_id, page_index, position, string_agg("row"::VARCHAR, ',' ORDER BY "ro
   CASE type WHEN 'table' THEN printf('crops/tbl_%d_%05d.png', page, order_id) END AS image_crop FROM numbered""",
     "toc_levels": f"WITH {_TOC} SELECT doc_id, toc_seq, level FROM leveled",
     "toc_entries": f"WITH {_TOC} SELECT * FROM entries",
-    "toc_tree": f"WITH RECURSIVE {_TOC}, {_TREE.format(entries='entries')} SELECT * FROM parents",
-    "toc_paths": f"WITH RECURSIVE {_TOC}, {_TREE.format(entries='entries')} SELECT doc_id, toc_seq, array_to_string(path, ' / ') AS path FROM paths",
-    "toc_propagate": f"WITH RECURSIVE {_TOC}, {_TREE.format(entries='entries')}, {_PAGES} SELECT * FROM pages",
-    "toc_pipeline": f"""WITH RECURSIVE {_TOC}, {_TREE.format(entries='entries')}, {_PAGES}
+    "toc_tree": f"WITH RECURSIVE {_TOC}, {TREE.format(entries='entries')} SELECT * FROM parents",
+    "toc_paths": f"WITH RECURSIVE {_TOC}, {TREE.format(entries='entries')} SELECT doc_id, toc_seq, array_to_string(path, ' / ') AS path FROM paths",
+    "toc_propagate": f"WITH RECURSIVE {_TOC}, {TREE.format(entries='entries')}, {PAGES} SELECT * FROM pages",
+    "toc_pipeline": f"""WITH RECURSIVE {_TOC}, {TREE.format(entries='entries')}, {PAGES}
 SELECT e.doc_id, e.toc_seq, e.title, g.page_start, e.level, p.parent_seq, array_to_string(h.path, ' / ') AS path FROM entries e JOIN pages g USING (doc_id, toc_seq) JOIN parents p USING (doc_id, toc_seq) JOIN paths h USING (doc_id, toc_seq)""",
+    # entries in their order: each opens its node, and closes as many as its depth falls to the next
+    "toc_json": f"""WITH RECURSIVE {_TOC}, {TREE.format(entries='entries')}, {PAGES},
+flat AS (SELECT e.doc_id, e.toc_seq, '{{"title": ' || to_json(e.title)::VARCHAR || ', "page_start": ' || coalesce(g.page_start::VARCHAR, 'null') || ', "level": ' || e.level || ', "children": [' AS node,
+  len(h.path) AS depth, lead(len(h.path)) OVER (PARTITION BY e.doc_id ORDER BY e.toc_seq) AS following FROM entries e JOIN pages g USING (doc_id, toc_seq) JOIN paths h USING (doc_id, toc_seq))
+SELECT doc_id, '[' || string_agg(node || CASE WHEN following > depth THEN '' WHEN following IS NULL THEN repeat(']}}', depth) ELSE repeat(']}}', depth - following + 1) || ', ' END, '' ORDER BY toc_seq) || ']' AS toc_json FROM flat GROUP BY doc_id""",
     "skip_pages": f"WITH {fx.BLOCKS} SELECT block_id, page FROM blocks_in WHERE page NOT IN (1, 2, 177, 178, 179)",
     "toc_match": f"{_attached(False)} SELECT block_id, matched_seq FROM kept LEFT JOIN matched USING (block_id)",
     "toc_carry": f"{_attached(True)} SELECT block_id, array_to_string(toc, ' / ') AS toc FROM carried",
@@ -170,9 +201,14 @@ SELECT e.doc_id, e.toc_seq, e.title, g.page_start, e.level, p.parent_seq, array_
     "norm_hyphen": _each(_hyphen),
     "norm_space": _each(_space),
     "normalize_text": _each(_text),
-    "normalize_title": f"WITH {fx.BLOCKS} SELECT block_id, {_title("concat_ws(' ', 'CHAPTER 1: ', title, '  (Sub_chapter)')")} AS key FROM blocks_in",
+    "normalize_title": f"WITH {fx.BLOCKS} SELECT block_id, {title_key("concat_ws(' ', 'CHAPTER 1: ', title, '  (Sub_chapter)')")} AS key FROM blocks_in",
     "b64_payload": "SELECT doc_id, to_base64(encode(text)) AS payload FROM documents",
     "prompt_context": f"{_attached(False)} SELECT block_id, array_to_string(toc, ' > ') AS path, coalesce(nullif(title, ''), 'None') AS title FROM carried WHERE type = 'table'",
+    "table_prompt": f"""{_attached(False)} SELECT block_id, 'Path: ' || array_to_string(toc, ' > ') || chr(10) || 'Title: ' || coalesce(nullif(title, ''), 'None') || chr(10) || chr(10) ||
+'The path and the title say where in its document the table stands; use them to name columns without a name.' || chr(10) ||
+'In "description", tell in one or two sentences what the table is for, what one row is, and what each column holds.' AS prompt FROM carried WHERE type = 'table'""",
+    "table_extract": f"""{_attached(False)} SELECT block_id AS table_id, page, title, 'stub' AS description, 'Path / Title' AS columns, 1 AS n_rows,
+  'Path=' || array_to_string(toc, ' > ') || ', Title=' || coalesce(nullif(title, ''), 'None') AS cells, 'ok' AS status FROM carried WHERE type = 'table'""",
     "table_parse": f"""WITH {fx.MODEL_ANSWERS} SELECT block_id, CASE page % 5 WHEN 0 THEN json_extract_string(answer, '$.description') END AS description,
   CASE page % 5 WHEN 0 THEN 'A / B' WHEN 1 THEN '' END AS columns, CASE page % 5 WHEN 0 THEN json_array_length(answer, '$.rows')::INT WHEN 1 THEN 0 END AS n_rows,
   CASE WHEN NOT json_valid(answer) THEN 'invalid' WHEN json_type(answer) <> 'OBJECT' THEN 'not_object' ELSE 'ok' END AS status FROM answers""",

@@ -5,7 +5,8 @@ Arrays are flattened to text on both sides, so that results compare by value.
 
 from __future__ import annotations
 
-import tempfile
+import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from pagemill.functions import geometry as g
 from pagemill.functions import text as tx
 from pagemill.operators import assembly, attach, ordering, outline, overlay, sections, spatial, tables
 from pagemill.plans import fixtures as fx
-from pagemill.session import shared_dir, table
+from pagemill.session import own_folder, table
 from pagemill.sources import pages, records
 
 SKIPPED = (1, 2, 177, 178, 179)
@@ -241,13 +242,18 @@ def prompt_context(spark, sf_dir):
     return rows.select("block_id", path.alias("path"), title.alias("title"))
 
 
+def table_prompt(spark, sf_dir):
+    rows = attach.table_blocks(fx.blocks(spark, sf_dir), _outline(spark, sf_dir))
+    return rows.select("block_id", tables.prompt(F.col("toc"), F.col("title")).alias("prompt"))
+
+
 def table_parse(spark, sf_dir):
     rows = tables.parse_answers(fx.model_answers(spark, sf_dir))
     return rows.select("block_id", "description", _joined("columns"), F.size("rows").alias("n_rows"), "status")
 
 
 class StubClient:
-    """Answers without a model: what the prompt says about the place, every third time after a broken answer."""
+    """Answers without a model: what the prompt says about the place, for some prompts after a broken answer."""
 
     def __init__(self):
         self.asked = 0
@@ -256,12 +262,18 @@ class StubClient:
         self.asked += 1
         if max_tokens == tables.TOKEN_SCHEDULE[0] and len(prompt) % 3 == 0:
             return "not yet"
-        return '{"columns": ["Path"], "rows": [{"Path": "%d"}], "description": "stub"}' % len(prompt)
+        said = dict(line.split(": ", 1) for line in prompt.split("\n")[:2])
+        return json.dumps({"columns": list(said), "rows": [said], "description": "stub"})
 
 
 def table_extract(spark, sf_dir):
     rows = tables.extract_tables(attach.table_blocks(fx.blocks(spark, sf_dir), _outline(spark, sf_dir)), StubClient, wait=_no_wait)
-    return rows.select("table_id", "page", "title", "description", _joined("columns"), F.size("rows").alias("n_rows"), "status")
+    return rows.select("table_id", "page", "title", "description", _joined("columns"), F.size("rows").alias("n_rows"), _cells("rows"), "status")
+
+
+def _cells(rows):
+    one = F.element_at(rows, 1)
+    return F.array_join(F.transform(F.array(F.lit("Path"), F.lit("Title")), lambda k: F.concat(k, F.lit("="), F.element_at(one, k))), ", ").alias("cells")
 
 
 def _no_wait(_seconds):
@@ -283,7 +295,7 @@ def resume_anti(spark, sf_dir):
 
 
 def blocks_roundtrip(spark, sf_dir):
-    path = tempfile.mkdtemp(prefix="pagemill-blocks-") if spark.sparkContext.master.startswith("local[") else f"{shared_dir(spark)}/blocks-{id(sf_dir)}"
+    path = f"{own_folder(spark)}/blocks-{time.time_ns()}"
     records.write_blocks(fx.blocks(spark, sf_dir), path)
     return records.read_blocks(spark, path)
 
@@ -306,7 +318,7 @@ def overlay_layout(spark, sf_dir):
 _FUNCTIONS = (
     page_manifest, ocr_unnest, ocr_scale, layout_filter, page_extent, norm_boxes, column_assign, reading_order, model_inputs, assign_collisions, assign_order, overlap_pairs, first_layout_match, first_table_match, toc_content_semi, crop_boxes,
     font_neighbors, classify_regions, title_carry, assemble_blocks, toc_levels, toc_entries, toc_tree, toc_paths, toc_propagate, toc_pipeline, toc_json, skip_pages, toc_match, toc_carry, serialize_text, serialize_tables, section_headings,
-    normalize_title, b64_payload, prompt_context, table_parse, table_extract, table_cells, resume_anti, blocks_roundtrip, overlay_order, overlay_layout,
+    normalize_title, b64_payload, prompt_context, table_prompt, table_parse, table_extract, table_cells, resume_anti, blocks_roundtrip, overlay_order, overlay_layout,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 QUERIES["sections"] = section_rows

@@ -55,12 +55,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     The files go when the session ends, or before by :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _own_folder(spark: SparkSession) -> str:
+def own_folder(spark: SparkSession) -> str:
     """Folder of this application in the shared one; the JVM deletes it when it closes its file systems."""
     folder = f"{shared_dir(spark)}/pagemill/{spark.sparkContext.applicationId}"
     if folder not in _LEAVES:
