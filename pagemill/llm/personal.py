@@ -24,6 +24,7 @@ other columns are carried, one with the name of an added column as ``<name>_inpu
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,7 +47,8 @@ DIGIT_WORDS = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 _DASHES = dict.fromkeys("‐‑‒–−﹣", "-")
-_ODD = re.compile(r"[^\t\n\x20-\x7e]")
+# a letter with the marks and undrawn characters after it goes as one, so that it is composed
+_ODD = re.compile(r"\w[\u0300-\u036f\u200b-\u200d\u00ad\u2060\ufeff]+|[^\t\n\x20-\x7e]")
 
 
 class Plain:
@@ -97,6 +99,7 @@ def _look(m: re.Match) -> str:
 
 
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_THREE = b"\x01" * 3
 _SPELLED = re.compile(rf"\b(?:{_WORD})(?:[\s,-]+(?:{_WORD})){{4,}}\b", re.I)
 _ONE_WORD = re.compile(_WORD, re.I)
 _OPEN, _SHUT = r"[(\[{<]", r"[)\]}>]"
@@ -107,6 +110,9 @@ _AT = rf"(?:\s*{_OPEN}\s*(?:at|a|@|ät|arroba|chez)\s*{_SHUT}\s*|\s*@\s*)"
 _SAID = r"\s+(?:dot|punkt|point|punto)\s+"
 _DOT = rf"(?:\s*{_OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{_SHUT}\s*|{_SAID}|\.(?=\w))"
 _LOCAL = r"[A-Za-z0-9](?:[A-Za-z0-9_%+'-]|\.(?=[A-Za-z0-9_]))*"
+# a name set letter by letter is taken whole
+_SPACED = r"(?:[A-Za-z0-9][^\S\n]){2,}[A-Za-z0-9]"
+_WHO = rf"(?<![\w.+@-])({_SPACED}|{_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9]|-(?:\n[^\S\n]*)?(?=[A-Za-z0-9]))*"
 _BARE = r"\s+(?:at|arroba)\s+"
 _SURE = r"\s+(?:dot|punkt|punto)\s+"
@@ -115,12 +121,12 @@ _TOP = rf"(?:{_ENDS}|(?!am|an|as|at|be|by|do|go|he|if|in|is|it|me|my|no|of|on|or
 _ARTICLE = r"(?:a|an|any|each|every|her|his|its|my|no|one|our|some|that|the|their|these|this|those|what|which|your)"
 _HOST = rf"(?!{_ARTICLE}\s+point\s|{_ARTICLE}{_SURE}(?!{_ENDS}))"
 _DISGUISED = [
-    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)({_AT})({_LABEL}(?:{_DOT}{_LABEL}){{1,4}})(?![\w@])", re.I),
-    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)(\s+at\s+)({_HOST}(?:{_LABEL}(?:{_SAID}{_LABEL}){{0,3}}{_SAID}{_TOP}(?!{_SURE}{_LABEL})|{_LABEL}(?:{_SURE}{_LABEL}){{1,4}}))(?![\w@])", re.I),
-    re.compile(rf"(?<![\w.+@-])({_LOCAL}(?:{_SAID}{_LOCAL}){{0,3}}?)(\s+arroba\s+)({_LABEL}(?:{_SAID}{_LABEL}){{1,4}})(?![\w@])", re.I),
+    re.compile(rf"{_WHO}({_AT})({_LABEL}(?:{_DOT}{_LABEL}){{1,4}})(?![\w@])", re.I),
+    re.compile(rf"{_WHO}(\s+at\s+)({_HOST}(?:{_LABEL}(?:{_SAID}{_LABEL}){{0,3}}{_SAID}{_TOP}(?!{_SURE}{_LABEL})|{_LABEL}(?:{_SURE}{_LABEL}){{1,4}}))(?![\w@])", re.I),
+    re.compile(rf"{_WHO}(\s+arroba\s+)({_LABEL}(?:{_SAID}{_LABEL}){{1,4}})(?![\w@])", re.I),
 ]
 # what a text must hold for the first of them, and for the others
-_ANY_AT, _ANY_BARE, _ANY_SAID = (re.compile(p, re.I) for p in (_AT, _BARE, _SAID))
+_ANY_AT, _ANY_BARE, _ANY_SAID = (re.compile(p, re.I) for p in (rf"@|{_OPEN}\s*(?:at|a|ät|arroba|chez)\s*{_SHUT}", _BARE, _SAID))
 _DOT_ONLY = re.compile(_DOT, re.I)
 
 
@@ -134,7 +140,10 @@ def plain(text: str) -> Plain:
     out = Plain(text)
     if not text.isascii():
         out = out.rewrite(_ODD, _look)
-    out = out.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[w.lower()] for w in _ONE_WORD.findall(m.group())))
+    # of five words for digits in a row the inner three have nothing but separators around them: few texts have such
+    words = out.text.lower().replace(",", " ").replace("-", " ").split()
+    if _THREE in bytes(map(DIGIT_WORDS.__contains__, words)):
+        out = out.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[w.lower()] for w in _ONE_WORD.findall(m.group())))
     if _ANY_AT.search(out.text):
         out = out.rewrite(_DISGUISED[0], _undisguise)
     if (at := _ANY_BARE.search(out.text)) and _ANY_SAID.search(out.text, at.end()):
@@ -167,6 +176,13 @@ _ADDRESS_FORMS = (
     rf"\b(?:P\.?\s?O\.?\s+Box|Postfach|Boîte\s+postale|B\.?P\.?|Apartado(?:\s+de\s+[Cc]orreos)?)\s+\d[\d ]*,?\s+(?:{_ZIP}\s+{_TOWN}|{_TOWN}(?:,?\s+{_ZIP})?)",
 )
 _ADDRESSES = [re.compile(p) for p in _ADDRESS_FORMS]
+# what a text must hold for each of the forms: each hint is a part of its form
+_STREET_HINT = re.compile(rf"\s(?=[A-Z]){_STREETS}")
+_HINTS = [
+    _STREET_HINT, _STREET_HINT, _STREET_HINT, re.compile(rf"\d\s?[A-Za-z]?,?\s+(?:D-)?{_ZIP}\s+[A-ZÀ-ÖØ-Þ]"),
+    re.compile(r"(?<![^\W_])(?=[RrAaBbPpCcQqIi])(?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Cc]hemin|[Qq]uai|[Ii]mpasse|[Aa]llée|[Cc]alle|[Aa]venida|[Pp]laza|[Pp]aseo|[Cc]amino)\s"),
+    re.compile(r"Box|Postfach|postale|B\.?P|Apartado"),
+]
 # In capitals every word looks like a name: there the words of the patterns count in either case, and
 # words that are part of no street or town are no names. Such stretches end at a word in small letters,
 # except those that the patterns themselves know.
@@ -188,7 +204,7 @@ _IDS = [
     re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"),
     re.compile(r"(?<![\w-])([A-CEGHJ-PR-TW-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D])(?!\w)"),
 ]
-_CALL = re.compile(r"(?:call|ring|phone|tel|telephone|telefon\w*|fon|fax|mobile|mobil|cell|reach|reached|text|dial|unter|anruf\w*|rufen|téléphon\w*|tél|appel\w*|teléfono|móvil|llam\w*|number|at|or|oder|ou|o)[\s.:,#]*(?:me\s+at\s+|us\s+at\s+|is\s+|unter\s+)?$", re.I)
+_CALL = re.compile(r"(?:call(?:s|ed|ing)?|ring(?:s|ing)?|rang|phon(?:e|es|ed|ing)|tel|telephon(?:e|es|ed|ing)|telefon\w*|fon|fax(?:ed)?|mobile|mobil|cell|reach(?:es|ed|able)?|text(?:s|ed|ing)?|dial(?:s|l?ed|l?ing)?|unter|anruf\w*|rufen|téléphon\w*|tél|appel\w*|teléfono|móvil|llam\w*|number|at|or|oder|ou|o)[\s.:,#]*(?:me\s+at\s+|us\s+at\s+|is\s+|unter\s+)?$", re.I)
 _EXT = r"(?:[,;]?\s*(?:ext|x|extension|durchwahl|app|poste|extensión)\.?\s*\d{1,5}(?!\d))?"
 _S = r"[ ./\n-]"
 _PHONES = [(re.compile(p + _EXT, re.I), need) for p, need in (
@@ -202,12 +218,18 @@ _PHONES = [(re.compile(p + _EXT, re.I), need) for p, need in (
     (r"(?<![\w./-])\d{7,13}(?!\d)", True),
     (rf"(?<![\w./-])[6789]\d{{2}}(?:{_S}\d{{2,3}}){{2,3}}(?!\d)", True),
 )]
+# numbers in groups that are none of the kinds, accounts and cards: no part of one is a telephone number
+_BEFORE_NUMBER, _AFTER_NUMBER = 160, 80
+_GROUPED = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b|(?<![\w+.-])\d{4}(?:[ -]\d{4}){3}(?![\w-])")
+# stretches of signs that hold digits enough for a telephone or identity number
+_MANY_DIGITS = re.compile(r"\d(?:[A-Z ()./\n,-]{0,8}\d){3,}")
 _NO_PHONE = re.compile(r"(?:isbn|product\s+code|item|file|grid|printed|ref\w*|order|code|listed\s+under|table|page|no|nr)[\s.:#]*$", re.I)
 
 # Forms of address, and words that begin names of places.
 _HONORIFICS = frozenset("mr mrs ms miss mx dr prof professor sir dame lady lord herr frau monsieur madame mademoiselle mme mlle señor señora sr sra don doña brother sister captain master mistress".split())
 _PLACE_WORDS = frozenset("lower upper port bad east west north south new old great little saint st mount lake fort castle the a an in at of to from and or near by for with my her his our".split())
-_TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|['’](?=[^\W\d_]{2}))*(?:-[^\W\d_]+)*")
+# words with a capital at their start; the class leaves out small Latin letters, other scripts' are told later
+_TOKEN = re.compile(r"(?<![^\W\d_])(?<![^\W\d_]['’-])[^\W\d_a-zß-öø-ÿ](?:[^\W\d_]|['’](?=[^\W\d_]{2}))*(?:-[^\W\d_]+)*")
 _INITIAL = re.compile(r"[^\W\d_]")
 
 
@@ -298,6 +320,22 @@ def _capital_stretches(text: str) -> Iterator[tuple[int, int]]:
         done = b
 
 
+def _number_stretches(t: str) -> list[tuple[int, int]]:
+    """Bounds of the stretches around every number of four digits or more, the words before it included.
+
+    Numbers near to each other share a stretch. It reaches ``_BEFORE_NUMBER`` characters back, more than any
+    term for an identity number with what may follow it, and over what may follow a number.
+    """
+    out: list[tuple[int, int]] = []
+    for m in _MANY_DIGITS.finditer(t):
+        a, b = max(0, m.start() - _BEFORE_NUMBER), min(len(t), m.end() + _AFTER_NUMBER)
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all mentions in the source text, in order."""
     view = plain(text)
@@ -305,34 +343,44 @@ def mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
     taken: list[tuple[int, int]] = []
     found: list[tuple[str, int, int]] = []
 
-    def add(kind: str, a: int, b: int) -> None:
-        if all(b <= x or a >= y for x, y in taken):
-            taken.append((a, b))
-            found.append((kind, *view.source(a, b)))
+    def add(kind: str | None, a: int, b: int) -> None:
+        """Take a span that overlaps none taken before; spans are kept in order."""
+        i = bisect_left(taken, (a, b))
+        if (i == len(taken) or taken[i][0] >= b) and (i == 0 or taken[i - 1][1] <= a):
+            taken.insert(i, (a, b))
+            if kind:
+                found.append((kind, *view.source(a, b)))
 
     if "@" in t:
         for m in _EMAIL.finditer(t):
             add("email", m.start(), m.end())
     if _HOUSE.search(t):
-        for p in _ADDRESSES:
-            for m in p.finditer(t):
-                add("address", *m.span())
+        for p, hint in zip(_ADDRESSES, _HINTS, strict=True):
+            if hint.search(t):
+                for m in p.finditer(t):
+                    add("address", *m.span())
         for a, b in _capital_stretches(t):
             for p in _IN_CAPITALS:
                 for m in p.finditer(t, a, b):
                     add("address", *m.span())
+        stretches = _number_stretches(t)
         for k, p in enumerate(_IDS):
-            for m in p.finditer(t):
-                value = m.group(1)
-                if sum(c.isdigit() for c in value) >= (4 if k == 0 else 6):
-                    add("id", *m.span(1))
+            for a, b in stretches:
+                for m in p.finditer(t, a, b):
+                    value = m.group(1)
+                    if sum(c.isdigit() for c in value) >= (4 if k == 0 else 6):
+                        add("id", *m.span(1))
+        for a, b in stretches:
+            for m in _GROUPED.finditer(t, a, b):
+                add(None, *m.span())
         for p, need in _PHONES:
-            for m in p.finditer(t):
-                digits = sum(c.isdigit() for c in m.group())
-                before = t[max(0, m.start() - 40) : m.start()]
-                if not 7 <= digits <= 20 or _NO_PHONE.search(before) or (need and not _CALL.search(before)):
-                    continue
-                add("phone", *m.span())
+            for a, b in stretches:
+                for m in p.finditer(t, a, b):
+                    digits = sum(c.isdigit() for c in m.group())
+                    before = t[max(0, m.start() - 40) : m.start()]
+                    if not 7 <= digits <= 20 or _NO_PHONE.search(before) or (need and not _CALL.search(before)):
+                        continue
+                    add("phone", *m.span())
     for a, b in _names(t, names):
         add("name", a, b)
     return sorted(found, key=lambda x: x[1])

@@ -118,3 +118,27 @@ def test_frame(spark):
     assert personal.find_personal(docs.limit(0), known.limit(0)).count() == 0
     with pytest.raises(ValueError):
         personal.find_personal(docs, known, max_names=2)
+
+
+def test_whole_mentions_or_none():
+    assert found("ask j o h n at example dot com today") == [("email", "j o h n at example dot com")]
+    assert found("pay to IBAN DE89 3704 0044 0532 0130 00 by Friday, or by card 4000 1234 5678 9010 at once") == []
+    assert found("He phoned five five five one two one two and left") == [("phone", "five five five one two one two")]
+
+
+def test_letters_taken_apart():
+    for name in ("Inés Ashbrandt", "Emil Oskho​lt"):
+        assert found(f"we ask for {name} before the next turn") == [("name", name)]
+
+
+def test_many_mentions_take_time_in_proportion():
+    import time
+
+    def took(n):
+        text = "write to a@b.example or call 312-555-0177 now. " * n
+        began = time.process_time()
+        assert len(found(text)) == 2 * n
+        return time.process_time() - began
+
+    took(500)
+    assert took(8000) < 40 * max(took(500), 0.005)
