@@ -4,19 +4,21 @@ A first pass over all texts counts words and pairs of neighbouring words. The fr
 vocabulary: a trie. A second pass repairs every text by itself: running heads and page numbers go,
 words cut at line ends are joined, misread words are corrected, and lines are reflowed to paragraphs.
 
-For a word that isn't in the vocabulary a weighted Levenshtein automaton is intersected with the trie:
-its edits are the confusions of scanning (one letter or two read as one or two others), for words with
-digits or signs between letters any letter in their place, and, at a higher cost, as many plain
-substitutions, insertions and deletions as ``plain_edits`` allows (none by default, since names and
-rare words are near to frequent ones). The intersection yields every vocabulary word within
-``max_edits``; they are ranked by cost, then by how often they stand beside
-the neighbours of the place, then by frequency. A frequent word that a far more frequent one turns
-into by such an edit is a misreading itself and leaves the vocabulary.
-
-What is sent to the tasks is bounded: words and pairs below a share of all words are left out, so
-there are at most ``1 / share`` of each, whatever the size of the corpus. Only words of at least
-``3 * share`` and 5 occurrences are in the trie. Rarer words aren't restored when misread, and words
-below ``share`` aren't joined when cut; in a large library that holds for words special to one book.
+A Levenshtein automaton of a printed word is intersected with the trie, which yields every vocabulary
+word within reach. It is weighted: first come the confusions of scanning (one letter or two read as one or
+two others, and any letter for a sign or digit between letters), up to ``max_edits`` of them; where none
+leads to a word, plain substitutions, insertions and deletions are tried, up to ``plain_edits``.
+
+Which of the candidates a place had, if any, is decided by counts and context. A candidate must be
+``ratio`` times as frequent as the printed word itself, so that a rare word stands unless it looks like a
+misreading. A word of letters only must also fit: of its neighbours that are vocabulary words one at least
+stands beside the candidate elsewhere, and none stands beside the printed word nearly as often. A
+plain edit needs all of them. So ``modem`` stays beside ``modern`` where the words around it say so.
+
+What is sent to the tasks is bounded by shares of all words, whatever the size of the corpus: the
+words of the trie, at most ``1 / share``; counts of words by their hashes, at most ``1 / known_share``; counts
+of pairs by their hashes, at most ``1 / pair_share``. Words below ``known_share`` count as unseen: they are
+corrected only as context allows, and are joined when cut only if they are misread forms of others.
 
 Defined results: null texts give null and no noise, blank ones stay; a text that is junk by the rules
 of problem 5 has no noise and stays; a null page has no page number, a missing head no header; rows
@@ -28,13 +30,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,27 +57,71 @@ CONFUSIONS = (
 
 _TOKEN = re.compile(r"[^\W_]*[@$|!](?=[^\W_])[^\W_]+|[^\W_]+(?:[@$|!](?=[^\W_])[^\W_]+)*")
 _VALUE = re.compile(r"\d+(?:st|nd|rd|th)?|\d*d\d+|\d+[a-z]|[0-9a-f]{16,}")
-_WORD = re.compile(r"[a-zà-ÿ]{2,}")
-_PAIRS = re.compile(r"[a-zà-ÿ]+|\d+")
+_WORD = re.compile(r"[^\W\d_]{2,}")
+_PAIRS = re.compile(r"[^\W\d_]+|\d+")
 #: a word cut at a line end, which may have become a space
+_CUT_END = re.compile(r"[-‐‑¬­]\s")
 _CUT = re.compile(r"([^\W\d_][\w@$]*|[\w@$]*[^\W\d_])([-‐‑¬­])(\s+)([\w@$]*[^\W\d_][\w@$]*)")
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text)
+
+
+class Counts:
+    """Counts by 64-bit hashes of what is counted: 12 bytes an entry."""
+
+    def __init__(self, hashes: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        self.hashes, self.n = hashes[order], n[order]
+        self.memo: dict[str, int] = {}
+
+    @classmethod
+    def of(cls, counts: dict[str, int]) -> Counts:
+        return cls(np.array([_hash(k) for k in counts], np.uint64), np.array([*counts.values()], np.uint32))
+
+    def __getstate__(self) -> tuple:
+        return self.hashes, self.n
+
+    def __setstate__(self, state: tuple) -> None:
+        self.hashes, self.n = state
+        self.memo = {}
+
+    def get(self, key: str) -> int:
+        found = self.memo.get(key)
+        if found is None:
+            h = np.uint64(_hash(key))
+            i = int(np.searchsorted(self.hashes, h))
+            found = int(self.n[i]) if i < len(self.hashes) and self.hashes[i] == h else 0
+            if len(self.memo) < 300_000:
+                self.memo[key] = found
+        return found
+
+
 @dataclass
 class Lexicon:
-    """Vocabulary with counts, as a trie, and counts of neighbouring words."""
+    """Vocabulary with counts, as a trie; counts of all words that are known, and of neighbouring words."""
 
     counts: dict[str, int]
-    pairs: dict[tuple[str, str], int]
+    pairs: Counts | dict[tuple[str, str], int]
+    known: Counts | None = None
     max_edits: int = 2
-    trie: dict = field(default_factory=dict)
-    memo: dict[str, list[tuple[int, str]]] = field(default_factory=dict)
-    doubt: dict[str, bool] = field(default_factory=dict)
+    plain_edits: int = 1
+    #: Words of the trie have as many occurrences at least.
     least: int = 5
-    #: Edits beyond the confusions of scanning. With any, names and rare words turn into frequent ones.
-    plain_edits: int = 0
+    ratio: int = 20
 
     def __post_init__(self) -> None:
+        if isinstance(self.pairs, dict):
+            self.pairs = Counts.of({f"{a} {b}": n for (a, b), n in self.pairs.items()})
+        self._begin()
+
+    def _begin(self) -> None:
+        self.trie: dict = {}
+        self.memo: dict[str, list[tuple[int, str]]] = {}
+        self.plain_memo: dict[str, list[str]] = {}
+        self.doubt: dict[str, int] = {}
+        self.pieces: dict[str, bool] = {}
         self.printed: dict[str, list[tuple[str, str]]] = {}
         for true, printed in CONFUSIONS:
             self.printed.setdefault(printed[0], []).append((printed, true))
@@ -84,41 +132,41 @@ class Lexicon:
                     node = node.setdefault(ch, {})
                 node[""] = n
 
-    def clean(self, ratio: int = 20) -> None:
-        """Take out words that a word ``ratio`` times as frequent turns into by one confusion."""
-        wrong = [w for w, n in self.counts.items() if any(self.counts[c] >= ratio * n for e, c in self.candidates(w) if c != w and e == 1)]
-        for w in wrong:
-            del self.counts[w]
-        self.trie, self.memo = {}, {}
-        self.__post_init__()
+    def __getstate__(self) -> tuple:
+        return self.counts, self.pairs, self.known, self.max_edits, self.plain_edits, self.least, self.ratio
+
+    def __setstate__(self, state: tuple) -> None:
+        self.counts, self.pairs, self.known, self.max_edits, self.plain_edits, self.least, self.ratio = state
+        self._begin()
+
+    def seen(self, word: str) -> int:
+        """How often a word stands in the corpus; 0 if too rare to be known."""
+        return self.counts.get(word) or (self.known.get(word) if self.known else 0)
+
+    def pair(self, a: str, b: str) -> int:
+        return self.pairs.get(f"{a} {b}")
 
     def candidates(self, word: str) -> list[tuple[int, str]]:
-        """(cost, vocabulary word) of all words the automaton of ``word`` accepts, itself excluded.
+        """(edits, vocabulary word) of all words that turn into ``word`` by confusions, itself excluded.
 
-        A state is a place in the printed word with the edits so far; following the trie, each letter is
-        read as it is, by a confusion, or by a plain edit (another, a missing or an extra letter). Plain
-        edits cost more than all confusions together, so they count only where nothing else is near.
+        A state is a node of the trie and a place in the printed word with the edits so far; each letter of
+        the printed word is read as it is or by a confusion.
         """
         found = self.memo.get(word)
         if found is None:
             best: dict[str, int] = {}
             mixed = not word.isalpha()
-            n, dear = len(word), self.max_edits + 1
-            # (trie node, place in the printed word, edits, plain edits, letters so far)
-            stack = [(self.trie, 0, 0, 0, "")]
+            n = len(word)
+            stack = [(self.trie, 0, 0, "")]
             while stack:
-                node, i, edits, plain, prefix = stack.pop()
-                if i == n and "" in node and prefix != word:
-                    cost = edits - plain + plain * dear
-                    if cost < best.get(prefix, 10**6):
-                        best[prefix] = cost
-                if edits < self.max_edits and plain < self.plain_edits:
-                    stack += [(down, i, edits + 1, plain + 1, prefix + c) for c, down in node.items() if c]
+                node, i, edits, prefix = stack.pop()
                 if i == n:
+                    if "" in node and prefix != word and edits < best.get(prefix, 10**6):
+                        best[prefix] = edits
                     continue
                 ch = word[i]
                 if (down := node.get(ch)) is not None:
-                    stack.append((down, i + 1, edits, plain, prefix + ch))
+                    stack.append((down, i + 1, edits, prefix + ch))
                 if edits >= self.max_edits:
                     continue
                 for printed, true in self.printed.get(ch, ()):
@@ -129,78 +177,158 @@ class Lexicon:
                             if down is None:
                                 break
                         else:
-                            stack.append((down, i + len(printed), edits + 1, plain, prefix + true))
-                if plain < self.plain_edits:
-                    stack.append((node, i + 1, edits + 1, plain + 1, prefix))
-                    stack += [(down, i + 1, edits + 1, plain + 1, prefix + c) for c, down in node.items() if c and c != ch]
-                elif mixed and not ch.isalpha():
+                            stack.append((down, i + len(printed), edits + 1, prefix + true))
+                if mixed and not ch.isalpha():
                     # a sign in a word may stand for any letter
-                    stack += [(down, i + 1, edits + 1, plain, prefix + c) for c, down in node.items() if c]
+                    stack += [(down, i + 1, edits + 1, prefix + c) for c, down in node.items() if c]
             found = sorted((e, w) for w, e in best.items())
             if len(self.memo) < 300_000:
                 self.memo[word] = found
         return found
 
-    def doubtful(self, word: str) -> bool:
-        """Whether a printed word isn't in the vocabulary, though a vocabulary word is near."""
+    def plain_candidates(self, word: str) -> list[str]:
+        """All vocabulary words within ``plain_edits`` substitutions, insertions and deletions, itself excluded."""
+        found = self.plain_memo.get(word)
+        if found is None:
+            best: set[str] = set()
+            n = len(word)
+            stack = [(self.trie, 0, 0, "")]
+            while stack:
+                node, i, edits, prefix = stack.pop()
+                if "" in node and n - i <= self.plain_edits - edits and prefix != word:
+                    best.add(prefix)
+                if i < n and (down := node.get(word[i])) is not None:
+                    stack.append((down, i + 1, edits, prefix + word[i]))
+                if edits < self.plain_edits:
+                    for c, down in node.items():
+                        if c:
+                            stack.append((down, i, edits + 1, prefix + c))
+                            if i < n and c != word[i]:
+                                stack.append((down, i + 1, edits + 1, prefix + c))
+                    if i < n:
+                        stack.append((node, i + 1, edits + 1, prefix))
+            found = sorted(best)
+            if len(self.plain_memo) < 300_000:
+                self.plain_memo[word] = found
+        return found
+
+    def doubtful(self, word: str) -> int:
+        """0: the printed word stands. 1: a far more frequent one is a confusion away. 2: it isn't known, and plain edits may be tried."""
         found = self.doubt.get(word)
         if found is None:
             low = word.lower()
-            stands = low in self.counts or _VALUE.fullmatch(low) or len(low) > 24 or not any(c.isalpha() for c in low) or (len(low) < 3 and low.isalpha())
-            found = not stands and bool(self.candidates(low))
+            found = 0
+            if len(low) > 1 and not _VALUE.fullmatch(low) and any(c.isalpha() for c in low):
+                own = self.seen(low)
+                if any(self.counts[c] >= self.ratio * own for _, c in self.candidates(low)):
+                    found = 1
+                elif self.plain_edits and low not in self.counts and len(low) > 3 and word == low and low.isalpha():
+                    found = 2
             if len(self.doubt) < 500_000:
                 self.doubt[word] = found
         return found
 
+    def odd(self, piece: str) -> bool:
+        """Whether a stretch without white space holds any word in doubt."""
+        found = self.pieces.get(piece)
+        if found is None:
+            found = any(self.doubtful(w) for w in _TOKEN.findall(piece))
+            if len(self.pieces) < 500_000:
+                self.pieces[piece] = found
+        return found
+
+    def fits(self, candidate: str, word: str, before: str, after: str, sure: bool = False) -> bool:
+        """Whether the neighbours that are vocabulary words speak for the candidate and not for the printed word.
+
+        To be ``sure``, each of them, numbers too, must stand beside the candidate ``ratio`` times as often as beside the
+        printed word, and five times in all.
+        """
+        said = lambda w: w in self.counts or sure and w == "#"
+        beside = [((before, candidate), (before, word))] if said(before) else []
+        beside += [((candidate, after), (word, after))] if said(after) else []
+        votes = [(self.pair(*c), self.pair(*w)) for c, w in beside]
+        if sure:
+            return sum(c for c, _ in votes) >= 5 and all(c >= max(1, self.ratio * w) for c, w in votes)
+        if any(w > 1 and c < 4 * w for c, w in votes):
+            return False
+        return not votes or any(c for c, _ in votes)
+
     def correct(self, word: str, before: str = "", after: str = "") -> str | None:
-        """The word a printed one (lower case) was, or None if it stands or nothing is near."""
-        if word in self.counts:
+        """The word a printed one (lower case) was, or None if it stands or nothing near fits."""
+        if not self.doubtful(word):
             return None
-        near = self.candidates(word)
-        if not near:
+        own = self.seen(word)
+        mixed = not word.isalpha()
+        near = [(e, c) for e, c in self.candidates(word) if self.counts[c] >= self.ratio * own and (mixed or self.fits(c, word, before, after))]
+        if near:
+            least = near[0][0]
+            return max((c for e, c in near if e == least), key=lambda c: (self.pair(before, c) + self.pair(c, after), self.counts[c], c))
+        if mixed or not self.plain_edits or word in self.counts or not (before in self.counts or after in self.counts):
             return None
-        beside = lambda w: self.pairs.get((before, w), 0) + self.pairs.get((w, after), 0)
-        least = near[0][0]
-        return max((x for e, x in near if e == least), key=lambda w: (beside(w), self.counts[w], w))
+        far = [c for c in self.plain_candidates(word) if self.counts[c] >= self.ratio * max(own, 1) and self.fits(c, word, before, after, sure=True)]
+        return max(far, key=lambda c: (self.pair(before, c) + self.pair(c, after), self.counts[c], c), default=None)
 
 
-def count_batches(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """Partial counts of words and of pairs: (a, b, n), b empty for words. Numbers count as ``#``."""
+def count_batches(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Partial counts: (w, h, n), a word and its hash, or null and the hash of two neighbouring words. Numbers count as ``#``.
+
+    What stands between white space is numbered, counted as numbers, and taken apart once for each kind.
+    """
+    ids: dict[str, int] = {}
+    row: list[int] = []  # the texts as numbers, 0 between them
 
     def flush() -> pa.RecordBatch:
-        a = [*words, *(x for x, _ in pairs)]
-        b = [""] * len(words) + [y for _, y in pairs]
-        out = pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64())], names=["a", "b", "n"])
-        words.clear()
-        pairs.clear()
-        return out
-
-    words: Counter[str] = Counter()
-    pairs: Counter[tuple[str, str]] = Counter()
+        found = [[], *(["#" if x[0].isdigit() else x for x in _PAIRS.findall(piece.lower())] for piece in ids)]
+        words: Counter[str] = Counter()
+        pairs: Counter[tuple[str, str]] = Counter()
+        every = np.array(row, np.int64)
+        for i, n in enumerate(np.bincount(every, minlength=len(found)).tolist()):
+            for x in found[i]:
+                words[x] += n
+            for x in zip(found[i], found[i][1:], strict=False):
+                pairs[x] += n
+        code, n = np.unique(every[:-1] << 32 | every[1:], return_counts=True) if len(every) else (every, every)
+        for x, y, k in zip((code >> 32).tolist(), (code & 0xFFFFFFFF).tolist(), n.tolist(), strict=True):
+            if found[x] and found[y]:
+                pairs[found[x][-1], found[y][0]] += k
+        w = [*words, *[None] * len(pairs)]
+        h = np.fromiter((_hash(x) for x in (*words, *(f"{a} {b}" for a, b in pairs))), np.uint64, len(w)).view(np.int64)
+        ids.clear()
+        row.clear()
+        return pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(h), pa.array([*words.values(), *pairs.values()], pa.int64())], names=["w", "h", "n"])
+
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text is None:
                 continue
-            found = ["#" if x[0].isdigit() else x for x in _PAIRS.findall(text.lower())]
-            words.update(found)
-            pairs.update(zip(found, found[1:], strict=False))
-            if len(words) + len(pairs) > most:
+            pieces = text.split()
+            try:
+                row.extend(list(map(ids.__getitem__, pieces)))
+            except KeyError:
+                for piece in pieces:
+                    row.append(ids.setdefault(piece, len(ids) + 1))
+            row.append(0)
+            if len(row) > most:
                 yield flush()
     yield flush()
 
 
-def build_lexicon(texts: DataFrame, text: str = "text", share: float = 1e-5, pair_share: float = 1e-5) -> Lexicon:
-    """Vocabulary and pairs of a whole corpus; at most ``1 / share`` words reach the driver."""
-    counted = texts.select(F.col(text).cast("string").alias("t")).mapInArrow(count_batches, "a string, b string, n bigint")
-    total_of = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
-    # the bound needs the total of all words, so the counts are read twice and made once
-    every = materialize(total_of.where("n >= 3"), "lexicon")
-    total = every.where("b = ''").agg(F.sum("n")).first()[0] or 0
-    rows = every.where((F.col("n") >= F.greatest(F.lit(3.0), F.lit(total) * F.when(F.col("b") == "", share).otherwise(pair_share)))).collect()
-    words = {r.a: r.n for r in rows if r.b == "" and _WORD.fullmatch(r.a)}
-    out = Lexicon(words, {(r.a, r.b): r.n for r in rows if r.b}, least=max(5, int(3 * share * total)))
-    out.clean()
-    return out
+def build_lexicon(texts: DataFrame, text: str = "text", share: float = 1e-5, known_share: float = 1e-7, pair_share: float = 2e-7, plain_edits: int = 1) -> Lexicon:
+    """Vocabulary, known words and pairs of a whole corpus, each bounded by its share."""
+    counted = texts.select(F.col(text).cast("string").alias("t")).mapInArrow(count_batches, "w string, h bigint, n bigint")
+    total_of = counted.groupBy("w", "h").agg(F.sum("n").alias("n"))
+    # the bounds need the total of all words, so the counts are read more than once and made once
+    every = materialize(total_of.where("n >= 2"), "lexicon")
+    total = every.where("w is not null").agg(F.sum("n")).first()[0] or 0
+    n = lambda least, of: F.col("n") >= max(least, of * total)
+    rows = every.where(F.col("w").isNotNull() & n(3, share)).select("w", "n").toArrow()
+    words = {w: c for w, c in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True) if _WORD.fullmatch(w)}
+
+    def hashed(is_word: bool, of: float) -> Counts:
+        found = every.where((F.col("w").isNotNull() == is_word) & n(2, of)).select("h", F.least("n", F.lit(2**32 - 1)).alias("n")).toArrow()
+        return Counts(found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy().astype(np.uint32))
+
+    return Lexicon(words, hashed(False, pair_share), hashed(True, known_share), plain_edits=plain_edits, least=max(5, int(3 * share * total)))
 
 
 def _fold(text: str) -> tuple[str, list[int]]:
@@ -297,35 +425,48 @@ def _upper(text: str) -> bool:
     return bool(letters) and sum(c.isupper() for c in letters) > 0.8 * len(letters)
 
 
+_NUMBERS: dict[int, tuple[re.Pattern, ...]] = {}
+
+
+def _number_patterns(page: int) -> tuple[re.Pattern, ...]:
+    """Patterns of a page's number, compiled once: anywhere, marked, barred, before and after a head, alone, and bare."""
+    found = _NUMBERS.get(page)
+    if found is None:
+        n = re.escape(str(page))
+        found = (
+            re.compile(rf"(?<!\w){n}|{n}(?!\w)"),
+            re.compile(rf"(?<![\w.])(?:[Pp]age|PAGE|[Pp]\.|P\.) {n}(?!\w)|\[{n}\]|(?:^|(?<=\s))[-–—] {n} [-–—](?=\s|$)", re.M),
+            re.compile(rf"(?:^|(?<=\s)){n} \|(?=\s|$)|(?:^|(?<=\s))\| {n}(?=\s|$)", re.M),
+            re.compile(rf"(?<!\w){n}[ \t|·–—-]*$"),
+            re.compile(rf"[ \t|·–—-]*{n}(?![\w.])"),
+            re.compile(rf"^[^\S\n]*{n}[^\S\n]*$", re.M),
+            re.compile(rf"(?<=\s){n}(?=\s)"),
+        )
+        if len(_NUMBERS) > 5_000:
+            _NUMBERS.clear()
+        _NUMBERS[page] = found
+    return found
+
+
 def find_page_numbers(text: str, page: int | None, heads: list[tuple[int, int]], lexicon: Lexicon, running: bool) -> list[tuple[int, int]]:
     """Spans of the block's own page number printed as page number."""
-    if page is None:
+    if page is None or str(page) not in text:
         return []
-    n = str(page)
-    if n not in text:
+    anywhere, marked, barred, before_head, after_head, alone, bare = _number_patterns(page)
+    if not anywhere.search(text):
         return []
-    out = []
-    number = re.escape(n)
-    marked = rf"(?<![\w.])(?:[Pp]age|PAGE|[Pp]\.|P\.) {number}(?!\w)|\[{number}\]|(?:^|(?<=\s))[-–—] {number} [-–—](?=\s|$)"
-    for m in re.finditer(marked, text, re.M):
-        out.append(m.span())
+    out = [m.span() for m in marked.finditer(text)]
     if running:
         # the number with a bar, at the start of a line or between words
-        for m in re.finditer(rf"(?:^|(?<=\s)){number} \|(?=\s|$)|(?:^|(?<=\s))\| {number}(?=\s|$)", text, re.M):
-            out.append(m.span())
+        out += [m.span() for m in barred.finditer(text)]
     for a, b in heads:
-        before, after = re.search(rf"(?<!\w){number}[ \t|·–—-]*$", text[:a]), re.match(rf"[ \t|·–—-]*{number}(?![\w.])", text[b:])
-        if before:
+        if before := before_head.search(text[:a]):
             out.append((before.start(), a))
-        if after:
+        if after := after_head.match(text[b:]):
             out.append((b, b + after.end()))
     if running:
-        for m in re.finditer(rf"^[^\S\n]*{number}[^\S\n]*$", text, re.M):
-            if not re.search(r":\s*$", text[: m.start()]):
-                out.append(m.span())
-        for m in re.finditer(rf"(?<=\s){number}(?=\s)", text):
-            if _loose(text, m.start(), m.end(), lexicon):
-                out.append(m.span())
+        out += [m.span() for m in alone.finditer(text) if not re.search(r":\s*$", text[: m.start()])]
+        out += [m.span() for m in bare.finditer(text) if _loose(text, m.start(), m.end(), lexicon)]
     return _disjoint(out)
 
 
@@ -335,8 +476,8 @@ def _loose(text: str, a: int, b: int, lexicon: Lexicon) -> bool:
     if not before or not after:
         return False
     x, y = before.group(1).lower(), after.group(1).lower()
-    together = lexicon.pairs.get((x, y), 0)
-    with_number = min(lexicon.pairs.get((x, "#"), 0), lexicon.pairs.get(("#", y), 0))
+    together = lexicon.pair(x, y)
+    with_number = min(lexicon.pair(x, "#"), lexicon.pair("#", y))
     return together >= 5 and together > 20 * with_number
 
 
@@ -379,31 +520,37 @@ def join_cut_words(text: str, lexicon: Lexicon) -> tuple[str, int]:
         if right[0].isupper() and not left[-1].isupper():
             return m.group()
         word = (left + right).lower()
-        if word in lexicon.counts or lexicon.correct(word) is not None:
+        if word in lexicon.counts or lexicon.seen(word) >= 3 or lexicon.candidates(word):
             n += 1
             return left + right
         return m.group()
 
-    if not any(c in text for c in "-‐‑¬­"):
-        return text, 0
-    return _CUT.sub(join, text), n
+    return (_CUT.sub(join, text) if _CUT_END.search(text) else text), n
+
+
+_WORD_BEFORE, _WORD_AFTER = re.compile(r"([^\W_]+)\W+$"), re.compile(r"\W+([^\W_]+)")
+
+
+def _beside(text: str, a: int, b: int) -> tuple[str, str]:
+    """The words before and after a place, numbers as ``#``."""
+    before, after = _WORD_BEFORE.search(text[max(0, a - 40) : a]), _WORD_AFTER.match(text, b)
+    found = (m.group(1).lower() if m else "" for m in (before, after))
+    return tuple("#" if w[:1].isdigit() else w for w in found)
 
 
 def correct_words(text: str, lexicon: Lexicon) -> tuple[str, int]:
     """Text with misread words corrected, and their number."""
-    odd = {w for w in set(_TOKEN.findall(text)) if lexicon.doubtful(w)}
-    if not odd:
+    if not any(map(lexicon.odd, set(text.split()))):
         return text, 0
     n = 0
 
     def fix(m: re.Match) -> str:
         nonlocal n
         word = m.group()
-        if word not in odd:
+        if not lexicon.doubtful(word):
             return word
         low = word.lower()
-        before, after = re.search(r"([^\W\d_]+)\W+$", text[max(0, m.start() - 30) : m.start()]), re.match(r"\W+([^\W\d_]+)", text[m.end() : m.end() + 30])
-        right = lexicon.correct(low, before.group(1).lower() if before else "", after.group(1).lower() if after else "")
+        right = lexicon.correct(low, *_beside(text, m.start(), m.end()))
         if right is None:
             return word
         n += 1
@@ -455,6 +602,9 @@ def repair(text: str | None, pages: list[int], heads: list[Head], lexicon: Lexic
     return (reflow(fixed) if reflowed and kind == "prose" else fixed), noises
 
 
+_BUILT: dict[str, tuple[Lexicon, list[Rule]]] = {}
+
+
 def repair_texts(df: DataFrame, lexicon: Lexicon, rules: list[Rule], text: str = "text", pages: str = "pages", heads: str = "heads", reflowed: bool = True, kinds: str | None = None) -> DataFrame:
     """``df`` with ``repaired`` and ``noises``. ``pages`` is an array of numbers, ``heads`` of titles.
 
@@ -463,12 +613,15 @@ def repair_texts(df: DataFrame, lexicon: Lexicon, rules: list[Rule], text: str =
     df, renamed = make_room(df, ("repaired", "noises", "_r"))
     text, pages, heads = renamed[text], renamed[pages], renamed[heads]
     known_kind = F.col(renamed[kinds]) if kinds else F.lit(None)
-    shared = df.sparkSession.sparkContext.broadcast((lexicon.counts, lexicon.pairs, lexicon.max_edits, lexicon.least, rules))
+    shared = df.sparkSession.sparkContext.broadcast((lexicon, rules))
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("struct<repaired:string,noises:array<string>>")
     def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        counts, pairs, edits, least, found_rules = shared.value
-        words = Lexicon(counts, pairs, edits, least=least)
+        if name not in _BUILT:  # once in each worker process
+            _BUILT.clear()
+            _BUILT[name] = shared.value
+        words, found_rules = _BUILT[name]
         known: dict[str, Head] = {}
 
         def head(title: str) -> Head:

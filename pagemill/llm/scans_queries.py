@@ -46,24 +46,24 @@ def _with_heads(spark, sf_dir, rows, key, entries, rules):
     return rows.repartition(task_count(spark), "book_id", key).join(heads, ["book_id", key], "left")
 
 
-def _repaired_blocks(spark, sf_dir, reflowed):
+def _repaired_blocks(spark, sf_dir):
     entries = _parts(spark, sf_dir).groupBy("book_id", "block_id").agg(F.collect_set("entry").alias("entries"))
     lexicon, rules = _tools(spark, sf_dir)
     rows = _with_heads(spark, sf_dir, _blocks(spark, sf_dir), "block_id", entries, rules).withColumn("pages", F.array("page"))
-    return repair_texts(rows, lexicon, rules, reflowed=reflowed, kinds="kind")
+    return repair_texts(rows, lexicon, rules, kinds="kind")
 
 
 def p4_found(spark, sf_dir):
     """Noise of blocks; a section has every noise of its blocks."""
     # written once: the blocks' noises are read for themselves and for the sections
-    blocks = materialize(_repaired_blocks(spark, sf_dir, False).where("size(noises) > 0").select("book_id", "block_id", F.explode("noises").alias("noise")).distinct(), "noises")
+    blocks = materialize(_repaired_blocks(spark, sf_dir).where("size(noises) > 0").select("book_id", "block_id", F.explode("noises").alias("noise")).distinct(), "noises")
     sections = blocks.join(_parts(spark, sf_dir).select("book_id", "section_id", "block_id"), ["book_id", "block_id"])
     return blocks.select("book_id", F.col("block_id").alias("item_id"), "noise").unionByName(sections.select("book_id", F.col("section_id").alias("item_id"), "noise")).distinct()
 
 
 def p4_blocks(spark, sf_dir):
     """Every text block as continuous paragraphs."""
-    return _repaired_blocks(spark, sf_dir, True).select("book_id", "block_id", F.col("repaired").alias("text"))
+    return _repaired_blocks(spark, sf_dir).select("book_id", "block_id", F.col("repaired").alias("text"))
 
 
 def p4_sections(spark, sf_dir):

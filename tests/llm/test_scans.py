@@ -1,3 +1,10 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from pagemill.llm import scans
@@ -5,15 +12,13 @@ from pagemill.llm.quality import Condition, Rule
 from pagemill.llm.scans import Head, Lexicon
 
 WORDS = {w: 1000 for w in "the first rule of storm short with never turn costs and a to mill range magic weapons such as long stonemason silver marks follows modern corner bone door cost by one night book see also covers ground for".split()} | {"cosf": 12, "tom": 40}
-PAIRS = {("the", "first"): 900, ("the", "storm"): 500, ("silver", "marks"): 700, ("the", "silver"): 600, ("for", "#"): 800, ("#", "silver"): 900}
+PAIRS = {("the", "first"): 900, ("rule", "storm"): 90, ("the", "storm"): 500, ("silver", "marks"): 700, ("the", "silver"): 600, ("for", "#"): 800, ("#", "silver"): 900}
 JUNK = [Rule("junk", (Condition("word_like", True, 0.2),))]
 
 
 @pytest.fixture
 def lexicon():
-    out = Lexicon(dict(WORDS), dict(PAIRS))
-    out.clean()
-    return out
+    return Lexicon(dict(WORDS), dict(PAIRS))
 
 
 def _brute(word, lexicon):
@@ -50,21 +55,89 @@ def _distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("word", ["strom", "rle", "fistr", "ranger", "nevver", "boor", "modrn", "x", "stonemasons", "qqqq"])
-def test_plain_edits_give_all_words_within_the_distance(word):
-    plain = Lexicon(dict(WORDS), {}, plain_edits=2)
-    got = {w for _, w in plain.candidates(word)}
-    assert {w for w in WORDS if w != word and _distance(word, w) <= 2} <= got
-
-
-def test_confusions_come_before_plain_edits():
-    plain = Lexicon({"storm": 100, "store": 9000}, {}, plain_edits=1)
-    assert plain.correct("storrn") == "storm" and plain.correct("stor") == "store"
+@pytest.mark.parametrize("word", ["strom", "rle", "fistr", "ranger", "nevver", "boor", "modrn", "x", "stonemasons", "qqqq", "the", ""])
+@pytest.mark.parametrize("edits", [1, 2])
+def test_plain_edits_give_exactly_the_words_within_the_distance(word, edits):
+    plain = Lexicon(dict(WORDS), {}, plain_edits=edits)
+    assert set(plain.plain_candidates(word)) == {w for w in WORDS if w != word and _distance(word, w) <= edits}
 
 
 def test_correct_words(lexicon):
     assert scans.correct_words("The fir5t storrn NEVCR 1d6 3rd 12 zzz, Firsf!", lexicon) == ("The first storm NEVER 1d6 3rd 12 zzz, First!", 4)
-    assert "cosf" not in lexicon.counts, "a frequent misreading leaves the vocabulary"
+
+
+def _lexicon(texts, **options):
+    """The lexicon of some texts, counted in this process."""
+    words, pairs = Counter(), Counter()
+    for out in scans.count_batches(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])])):
+        for w, h, n in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            (pairs if w is None else words)[h if w is None else w] += n
+    total = sum(words.values())
+    hashed = scans.Counts(np.array([*pairs], np.int64).view(np.uint64), np.array([*pairs.values()], np.uint32))
+    return Lexicon({w: n for w, n in words.items() if n >= max(3, 1e-5 * total)}, hashed, scans.Counts.of(words), least=max(5, int(3e-5 * total)), **options)
+
+
+def test_counts_beside_plain_counting():
+    texts = ["The “old” house, 12 storms\nthe old-\nhouse", None, "", "house 3rd the old", "ärger über Эхо"]
+    words, pairs = Counter(), Counter()
+    for t in filter(None, texts):
+        found = ["#" if x[0].isdigit() else x for x in scans._PAIRS.findall(t.lower())]
+        words.update(found)
+        pairs.update(f"{a} {b}" for a, b in zip(found, found[1:], strict=False))
+    got = _lexicon(texts * 3)
+    assert {w: got.seen(w) for w in words} == {w: 3 * n for w, n in words.items()}
+    assert {p: got.pairs.get(p) for p in pairs} == {p: 3 * n for p, n in pairs.items()} and got.pairs.get("no pair") == 0
+
+
+CORPUS = ["the old house stands on the hill"] * 50 + ["an attack on the house came at night"] * 50 + ["the modern house stands"] * 400 + ["a new modem was plugged in here"] * 3 + ["the train arrives at the station and burns"] * 50
+
+
+@pytest.mark.parametrize(
+    ("printed", "meant"),
+    [
+        ("the old hcuse stands", "the old house stands"), ("the old hause stands", "the old house stands"), ("the old hous stands", "the old house stands"), ("an atack on the house", "an attack on the house"), ("the tratn arrives", "the train arrives"),
+        ("a new modem was plugged in", None), ("the modem house stands", "the modern house stands"), ("the bum stands", None), ("the Haus stands", None), ("the " + "x" * 40 + " stands", None), ("modem", None),
+    ],
+)
+def test_context_decides(printed, meant):
+    lexicon = _lexicon(CORPUS)
+    if printed == "modem":
+        assert lexicon.correct("modem", "new", "was") is None and lexicon.correct("modem", "the", "house") == "modern"
+    else:
+        assert scans.correct_words(printed, lexicon)[0] == (meant or printed)
+
+
+def test_long_words_are_corrected():
+    word = "donaudampfschifffahrtsgesellschaftskapitän"
+    lexicon = _lexicon([f"the {word} stands here"] * 40)
+    assert scans.correct_words(f"the {word.replace('m', 'rn')} stands", lexicon)[0] == f"the {word} stands"
+    assert scans.correct_words(f"the {word[:20]}{word[21:]} stands", lexicon)[0] == f"the {word} stands"
+
+
+def _spoil(word, rng):
+    """One letter changed, lost or added, and no confusion of scanning."""
+    i, letters = rng.randrange(1, len(word) - 1), "abcdefghijklmnopqrstuvwxyz"
+    return rng.choice([word[:i] + rng.choice([c for c in letters if c != word[i] and (word[i], c) not in scans.CONFUSIONS]) + word[i + 1 :], word[:i] + word[i + 1 :], word[:i] + rng.choice(letters) + word[i:]])
+
+
+def test_recall_and_precision_on_spoiled_texts(tmp_path):
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text", "lang"]).to_pylist()
+    texts = [r["text"] for r in rows if r["text"] and r["lang"] == "en"]
+    lexicon, rng = _lexicon(texts), random.Random(2)
+    right = wrong = n = 0
+    for text in texts[:250]:
+        truth = re.split(r"(\s+)", text)
+        printed = list(truth)
+        places = [i for i, w in enumerate(truth) if re.fullmatch(r"[a-z]{5,}", w) and lexicon.counts.get(w, 0) >= 20]
+        chosen = set(rng.sample(places, max(1, len(places) // 15))) if places else set()
+        for i in chosen:
+            while lexicon.seen(printed[i]):
+                printed[i] = _spoil(truth[i], rng)
+        fixed = re.split(r"(\s+)", scans.correct_words("".join(printed), lexicon)[0])
+        n += len(chosen)
+        right += sum(fixed[i] == truth[i] for i in chosen)
+        wrong += sum(x != y and (i not in chosen or x != truth[i]) for i, (x, y) in enumerate(zip(fixed, printed, strict=True)))
+    assert right >= 0.9 * n and right >= 0.98 * (right + wrong)
 
 
 def test_cut_words(lexicon):
@@ -150,7 +223,14 @@ def test_known_kinds_go_before_own(spark, lexicon, reflowed):
 
 
 def test_lexicon_counts_the_whole_corpus(spark):
-    texts = spark.createDataFrame([("The storm never turns",)] * 40 + [("the storrn turns 12 times",)] + [(None,), ("",)], "text string")
+    texts = spark.createDataFrame([("The storm turns",)] * 50 + [("the storrn turns 12 times",)] * 2 + [(None,), ("",)], "text string")
     made = scans.build_lexicon(texts)
-    assert made.counts["storm"] == 40 and made.counts["the"] == 41 and "storrn" not in made.counts and made.pairs[("the", "storm")] == 40
-    assert made.correct("storrn") == "storm" and scans.build_lexicon(texts.limit(0)).counts == {}
+    assert made.counts["storm"] == 50 and made.counts["the"] == 52 and "storrn" not in made.counts
+    assert made.pair("the", "storm") == 50 and made.seen("storrn") == 2 and made.seen("never seen") == 0
+    assert made.correct("storrn", "the", "turns") == "storm" and scans.build_lexicon(texts.limit(0)).counts == {}
+
+
+def test_plain_edits_reach_the_workers(spark):
+    rows = spark.createDataFrame([(1, "the old hous stands", None, None, None)], BLOCKS)
+    for edits, want in ((0, "the old hous stands"), (1, "the old house stands")):
+        assert scans.repair_texts(rows, _lexicon(CORPUS, plain_edits=edits), JUNK).first().repaired == want
