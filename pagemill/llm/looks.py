@@ -2,13 +2,17 @@
 
 A compiled longest-match transducer rewrites text over grapheme clusters in one pass: widths,
 make-up of accented and joined letters, invisible characters, spaces and look-alike letters. Its
-mapping is computed once from the Unicode data of this Python and the tables below, and checked for
-conflicts before use: outputs must be stable under the mapping, and characters that look different
-must stay different.
+mapping is computed once, before any text is seen, from the Unicode data of this Python and the tables
+below: a trie whose paths are single characters that change and all sequences of a base and its marks
+that compose, with every base that looks like it. Undrawn characters are passed over wherever they
+stand. The mapping is checked for conflicts before use: it must be closed and stable, case must stay, and
+letters that are kept must not become one another.
 
 What stays: case, accents, line breaks, the number of spaces, punctuation, quotes, dashes, tabs. A
-letter that has a twin of another script in ``LOOKALIKES`` becomes the Latin twin wherever it stands,
-also within a word of its own script, so that equality of looks is equality of strings.
+letter that has a twin of another script in ``LOOKALIKES`` becomes the Latin twin, so that equality of looks
+is equality of strings. In a word with letters that only one other script has, and none that only Latin
+has, the twins are those of that script: such a word stays in its script, and so does its equality, since
+the choice depends on letters without a twin alone.
 
 Defined results: null gives null, empty gives empty; a text of only invisible characters gives the
 empty string; the result is the same when applied again.
@@ -35,7 +39,10 @@ LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ү": "Y", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V", "Ӏ": "I",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ү": "y", "ӏ": "l",
     "ɡ": "g",
-    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮋ": "H", "Ꮇ": "M", "Ꮲ": "P", "Ꭲ": "T", "Ꮃ": "W", "Ꮓ": "Z",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮍ": "Y", "Ꮓ": "Z",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    "ᗅ": "A", "ᗷ": "B", "ᗞ": "D", "ᕼ": "H", "ᒍ": "J", "ᒪ": "L", "ᑭ": "P", "ᖇ": "R", "ᑌ": "U", "ᐯ": "V", "᙭": "X",
+    "Ⲁ": "A", "Ⲃ": "B", "Ⲉ": "E", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲭ": "X", "ⲭ": "x",
     "Օ": "O", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g",
 }
 # Characters that are drawn as a space, and those that break a line.
@@ -75,71 +82,106 @@ def _unit(ch: str) -> str:
     return "".join(LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", ch))
 
 
+#: Code points whose characters may change.
+_RANGES = ((0x0, 0x3400), (0xA4D0, 0xAC00), (0xF900, 0x20000), (0x2F800, 0x2FA20), (0xE0000, 0xE0200))
+#: Letters of one script that are drawn alike, so that both may become one Latin letter.
+_DRAWN_ALIKE = ({"У", "Ү"}, {"у", "ү"}, {"І", "Ӏ"})
+
+
+def _script(ch: str) -> str:
+    """Script of a letter, by the first word of its name."""
+    return unicodedata.name(ch, "?").split(" ")[0]
+
+
 class Transducer:
-    """Longest-match rewriting: a table from clusters to forms, run over stretches of odd characters.
+    """Longest-match rewriting by a compiled trie, run over stretches of odd characters.
 
     Printable ASCII, tabs and line feeds stand for themselves, so only the stretches of other
-    characters, with the base before them where marks attach to it, can change. A stretch is cut into
-    its longest clusters (a base with its marks and the undrawn characters between) and each cluster
-    is looked up; clusters and stretches met for the first time are computed by the rule of the table.
+    characters, with the base before them where marks attach to it, can change.
     """
 
-    #: Stretches and clusters kept per process; beyond that they are computed again.
+    #: Stretches kept per process; beyond that they are rewritten again.
     KEPT = 100_000
 
     def __init__(self) -> None:
         self.table: dict[str, str] = {}
-        for c in [*range(0x0, 0x3400), *range(0xA640, 0xAC00), *range(0xF900, 0x10000), *range(0x1D100, 0x1D200), *range(0xE0000, 0xE0200)]:
+        self.undrawn: set[str] = set()
+        letters: dict[str, list[str]] = {}  # characters by the single one they look like
+        for c in (c for low, high in _RANGES for c in range(low, high) if not 0xD800 <= c < 0xF900):
             ch = chr(c)
-            if 0xD800 <= c < 0xE000:
-                continue
             form = unicodedata.normalize("NFC", _unit(ch))
-            if form != ch:
+            if not form:
+                self.undrawn.add(ch)
+            elif form != ch:
                 self.table[ch] = form
-        for base in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B)]):
-            for mark in map(chr, range(0x300, 0x370)):
-                pair = base + mark
-                if (form := unicodedata.normalize("NFC", pair)) != pair:
-                    self.table[pair] = form
+                if len(form) == 1:
+                    letters.setdefault(form, []).append(ch)
+        for c in range(0xC0, 0x3400):
+            whole = chr(c)
+            parts = unicodedata.normalize("NFD", whole)
+            if len(parts) > 1 and unicodedata.is_normalized("NFC", whole) and parts[0] not in LOOKALIKES:
+                # a base, or a base with its first marks composed, and what follows
+                for k in range(1, len(parts)):
+                    base = unicodedata.normalize("NFC", parts[:k])
+                    if len(base) == 1:
+                        for b in [base, *letters.get(base, ())]:
+                            self.table[b + parts[k:]] = whole
         self.check()
+        self.trie: dict = {}
+        for source, form in self.table.items():
+            node = self.trie
+            for ch in source:
+                node = node.setdefault(ch, {})
+            node[""] = form
+        self.native = _native_twins()
         self.odd = re.compile(r"[^\t\n\x20-\x7e]+")
+        self.foreign = re.compile("[" + "".join(sorted({c for own, _ in self.native.values() for c in own})) + "]")
         self.stretches: dict[str, str] = {}
 
     def check(self) -> None:
         """Raise unless the mapping is closed, stable and keeps different looks apart."""
         for source, form in self.table.items():
             again = unicodedata.normalize("NFC", "".join(_unit(c) for c in form))
-            if again != form:
+            if again != form or any(self.table.get(c, c) != c or c in self.undrawn for c in form):
                 raise ValueError(f"mapping of {source!r} isn't stable: {form!r}, {again!r}")
         kept = [chr(c) for c in range(0x20, 0x7F)] + [chr(c) for c in range(0xA1, 0x180) if c != 0xAD and unicodedata.category(chr(c)) != "Cf" and _joined(chr(c)) is None and chr(c) not in LOOKALIKES]
         kept += ["\t", "\n", *"‘’“”‚„‹›«»‐‑–—―…•"]
         for ch in kept:
-            if self.table.get(ch, ch) != ch:
+            if self.table.get(ch, ch) != ch or ch in self.undrawn:
                 raise ValueError(f"{ch!r} must stay")
-        twins: dict[str, str] = {}
+        twins: dict[tuple[str, str], str] = {}
         for source, form in LOOKALIKES.items():
-            if form in LOOKALIKES or source.isupper() != form.isupper():
+            if form in LOOKALIKES or (source.lower() != source.upper() and source.isupper() != form.isupper()):
                 raise ValueError(f"{source!r} and {form!r} differ in case or chain")
-            twins[source] = form
+            other = twins.setdefault((_script(source), form), source)
+            if other != source and {other, source} not in _DRAWN_ALIKE:
+                raise ValueError(f"{source!r} and {other!r} of one script look different and share {form!r}")
 
-    def _stretch(self, text: str) -> str:
-        """Form of a stretch, cluster by cluster."""
+    def _rewrite(self, text: str) -> str:
+        """Form of a stretch: at each place the longest path of the trie, past undrawn characters."""
         out: list[str] = []
-        start, n = 0, len(text)
-        while start < n:
-            end = start + 1
-            while end < n and _attaches(text[end]):
-                end += 1
-            cluster = text[start:end]
-            form = self.table.get(cluster)
-            if form is None:
-                form = unicodedata.normalize("NFC", "".join(_unit(c) for c in cluster))
-                if len(self.table) < self.KEPT:
-                    self.table[cluster] = form
-            out.append(form)
-            start = end
-        # a first cluster of undrawn characters leaves its marks to nothing; joined forms may still meet
-        return unicodedata.normalize("NFC", "".join(out))
+        i, n = 0, len(text)
+        while i < n:
+            node, j, best = self.trie, i, None
+            while j < n:
+                ch = text[j]
+                if ch not in self.undrawn:
+                    node = node.get(ch)
+                    if node is None:
+                        break
+                    if "" in node:
+                        best = node[""], j + 1
+                j += 1
+            if best:
+                out.append(best[0])
+                i = best[1]
+            else:
+                if text[i] not in self.undrawn:
+                    out.append(text[i])
+                i += 1
+        form = "".join(out)
+        # marks in another order than that of their classes, or more of them than any letter is made of
+        return form if unicodedata.is_normalized("NFC", form) else unicodedata.normalize("NFC", form)
 
     def __call__(self, text: str) -> str:
         out, done = [], 0
@@ -153,7 +195,7 @@ class Transducer:
                 stretch = text[a] + stretch
             form = self.stretches.get(stretch)
             if form is None:
-                form = self._stretch(stretch)
+                form = self._rewrite(stretch)
                 if len(self.stretches) < self.KEPT:
                     self.stretches[stretch] = form
             out.append(text[done:a])
@@ -162,7 +204,35 @@ class Transducer:
         if not out:
             return text
         out.append(text[done:])
-        return "".join(out)
+        form = "".join(out)
+        return _WORD.sub(self._in_script, form) if self.foreign.search(form) else form
+
+    def _in_script(self, m: re.Match) -> str:
+        """A word of one form, with the twins of the one other script that its letters without a twin are of."""
+        word = unicodedata.normalize("NFD", m.group())
+        scripts = {_script(c) for c in word if c.isalpha() and not ("A" <= c <= "Z" or "a" <= c <= "z")}
+        if len(scripts) != 1 or (script := scripts.pop()) not in self.native:
+            return m.group()
+        own, twins = self.native[script]
+        if any(c.isalpha() and c not in own and c not in twins for c in word):
+            return m.group()
+        return unicodedata.normalize("NFC", "".join(twins.get(c, c) for c in word))
+
+
+_WORD = re.compile(r"(?:[^\W\d_][\u0300-\u036f]*)+")
+
+
+def _native_twins() -> dict[str, tuple[set[str], dict[str, str]]]:
+    """For each script with twins: its letters without a twin, and its own letter for each Latin one."""
+    twins: dict[str, dict[str, str]] = {}
+    for source, form in LOOKALIKES.items():
+        if _script(source) != "LATIN":
+            twins.setdefault(_script(source), {}).setdefault(form, source)
+    own: dict[str, set[str]] = {script: set() for script in twins}
+    for ch in map(chr, [*range(0x370, 0x590), *range(0x13A0, 0x1400), *range(0x1400, 0x1680), *range(0x2C80, 0x2D00), *range(0xA4D0, 0xA500)]):
+        if ch.isalpha() and ch not in LOOKALIKES and (script := _script(ch)) in own and unicodedata.normalize("NFD", ch)[0] not in LOOKALIKES:
+            own[script].add(ch)
+    return {script: (own[script], twins[script]) for script in twins if own[script]}
 
 
 @lru_cache(maxsize=65_536)

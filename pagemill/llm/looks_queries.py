@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
-from pagemill.llm.looks import look_classes, look_pairs, same_look
+from pagemill.llm.looks import LOOKALIKES, UNDRAWN, look_classes, look_pairs, same_look
 from pagemill.session import table
 
 
@@ -24,4 +26,36 @@ def p2_blocks(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_blocks)}
-ORACLES: dict[str, str] = {}
+
+
+def _apart(ch: str) -> str:
+    """What a character is made of, by the rule of TESTDATA: width, make-up, script, and nothing for what isn't drawn."""
+    kind, way = unicodedata.category(ch), unicodedata.decomposition(ch)
+    if kind == "Zs":
+        return " "
+    if ch in "\r\u0085\u2028\u2029":
+        return "\n"
+    if kind in ("Cf", "Cc") or ch in UNDRAWN or "\U000e0100" <= ch <= "\U000e01ef":
+        return ""
+    pairs = ("\ufb00", "\ufb06"), ("\u0132", "\u0133"), ("\u01c7", "\u01cc"), ("\u01f1", "\u01f3")
+    if way.startswith(("<wide>", "<narrow>")) or any(a <= ch <= b for a, b in pairs):
+        ch = unicodedata.normalize("NFKC", ch)
+    return "".join(LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", ch))
+
+
+def form_sql(c: str) -> str:
+    """The form of equal looks in DuckDB: every character replaced by what it is made of, then composed."""
+    ranges = (0x01, 0x20), (0x7F, 0x3400), (0xA4D0, 0xAC00), (0xF900, 0x10000), (0xE0000, 0xE0200)
+    chars = [chr(i) for a, b in ranges for i in range(a, b) if chr(i) not in "\t\n" and not 0xD800 <= i < 0xF900]
+    changed = {ch: new for ch in chars if unicodedata.normalize("NFC", new := _apart(ch)) != ch}
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    table = f"map([{', '.join(map(quoted, changed))}], [{', '.join(map(quoted, changed.values()))}])"
+    pieces = f"regexp_extract_all(replace({c}, chr(13) || chr(10), chr(10)), '(?s)[^\\t\\n\\x20-\\x7e]|[\\t\\n\\x20-\\x7e]+')"
+    return f"CASE WHEN regexp_matches({c}, '[^\\t\\n\\x20-\\x7e]') THEN nfc_normalize(array_to_string(list_transform({pieces}, lambda x: coalesce({table}[x], x)), '')) ELSE {c} END"
+
+
+ORACLES = {
+    "p2_found": f"""WITH v AS (SELECT DISTINCT book_id, block_id, 'text' AS field, text AS raw FROM blocks UNION SELECT DISTINCT book_id, block_id, 'title', title FROM blocks),
+f AS (SELECT *, {form_sql('raw')} AS form FROM v WHERE raw IS NOT NULL), x AS (SELECT * FROM f WHERE regexp_matches(form, '\\S'))
+SELECT DISTINCT a.book_id, a.block_id AS block_id_a, b.block_id AS block_id_b, a.field FROM x a JOIN x b ON a.book_id = b.book_id AND a.field = b.field AND a.form = b.form AND a.block_id < b.block_id AND a.raw <> b.raw""",
+}

@@ -231,7 +231,7 @@ def _grow(x: dict[str, np.ndarray], y: np.ndarray, kind: str, features: tuple[st
     while True:
         good = y[rows]
         p, n = good.sum(), (~good).sum()
-        if n == 0 or p == 0 or len(conditions) >= 6:
+        if n == 0 or p == 0:
             break
         base, best, gain = np.log2(p / (p + n)), None, 1e-9
         for f in features:
@@ -270,7 +270,7 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], y: np.ndarray) -> tuple[Rule, f
     return best, worth
 
 
-def induce(rows: pd.DataFrame, label: str = "kind", kinds: tuple[str, ...] = KINDS, features: tuple[str, ...] = RULE_STATISTICS, n_cuts: int = 96) -> list[Rule]:
+def induce(rows: pd.DataFrame, label: str = "kind", kinds: tuple[str, ...] = KINDS, features: tuple[str, ...] = RULE_STATISTICS) -> list[Rule]:
     """Ordered rules for all kinds but the last, which is the default. The same rows give the same rules."""
     rows = rows[rows[label].isin(kinds)].dropna(subset=list(features)).reset_index(drop=True)
     rules: list[Rule] = []
@@ -280,8 +280,7 @@ def induce(rows: pd.DataFrame, label: str = "kind", kinds: tuple[str, ...] = KIN
     cuts = {}
     for f in features:
         values = np.unique(x[f])
-        middle = (values[1:] + values[:-1]) / 2
-        cuts[f] = middle if len(middle) <= n_cuts else np.unique(np.quantile(middle, np.linspace(0, 1, n_cuts)))
+        cuts[f] = (values[1:] + values[:-1]) / 2
     kind = rows[label].to_numpy()
     part = np.arange(len(rows)) % 3 == 2
     left = np.ones(len(rows), bool)
@@ -329,7 +328,9 @@ def learn(items: DataFrame, labels: DataFrame, keys: list[str], text: str = "tex
     """Rules from the labelled items. ``items`` holds keys and text, labels keys and kind."""
     # at most max_labels keys: small enough to send to every task, so no text is shuffled
     sample = labelled_sample(labels, keys, max_labels)
-    rows = statistics(items.select(*keys, text).join(F.broadcast(sample), keys).dropDuplicates(keys), text).drop(text).toPandas()
+    # of several texts under one key the first in order counts, so that the same rows give the same rules
+    labelled = items.select(*keys, text).join(F.broadcast(sample), keys).groupBy(*keys, "kind").agg(F.min(text).alias(text))
+    rows = statistics(labelled, text).drop(text).toPandas()
     if rows.empty:
         return []
     order = pd.util.hash_pandas_object(rows[keys].astype(str).agg("|".join, axis=1), index=False)

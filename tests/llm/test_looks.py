@@ -84,3 +84,37 @@ def test_classes_hold_all_links(spark):
         for k in (a, b):
             links[g, k, f] = links.get((g, k, f), 0) + 1
     assert {k: n for k, (_, n) in got.items()} == links and got[1, "b0", "text"] == (5, 4)
+
+
+def test_words_of_one_script_stay_in_it():
+    for word in ("привет", "ёлка", "Ελλάδα", "Й"):
+        assert canonical(word) == word
+    assert canonical("пpивeт") == canonical("привет") and canonical("ëлка") == "ёлка" and canonical("Eλλάδα") == "Ελλάδα"
+    # words with letters of both, or with none that tells, are Latin
+    assert canonical("ꓮBC") == "ABC" and canonical("сосо") == "coco" and canonical("Sфera") == canonical("Ѕферa"[0:2] + "era") == "Sфera" and canonical("руна and руna") == "руна and pyna"
+
+
+def test_every_entry_of_the_table_stands():
+    one = transducer()
+    for source, form in one.table.items():
+        assert one(source) == one(form) and unicodedata.is_normalized("NFC", form)
+    for ch in one.undrawn:
+        assert one(ch) == "" and one(f"e{ch}\u0301") == "é"
+    assert all(one(source) == form for source, form in LOOKALIKES.items() if not one.foreign.search(source))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aeаеAĂăо\u0301\u0306\u0323\u0327\u200bｅＡế", max_size=8))
+def test_trie_beside_composition(text):
+    apart = "".join(LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", "".join(unicodedata.normalize("NFKC", c) if "！" <= c <= "～" else c for c in text.replace("\u200b", ""))))
+    assert canonical(text) == unicodedata.normalize("NFC", apart)
+
+
+def test_letters_of_one_script_may_not_share(monkeypatch):
+    for source, form in (("Д", "A"), ("Q", "O")):
+        monkeypatch.setitem(LOOKALIKES, source, form)
+        try:
+            Transducer()
+            raise AssertionError
+        except ValueError:
+            monkeypatch.delitem(LOOKALIKES, source)
