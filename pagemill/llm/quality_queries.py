@@ -48,5 +48,29 @@ def p5_statistics(spark, sf_dir):
     return _kinds(spark, sf_dir).select(*columns).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_statistics)}
-ORACLES: dict[str, str] = {}
+def p5_measures(spark, sf_dir):
+    """The five statistics of every text, without its kind."""
+    rows = quality.statistics(spread(items(spark, sf_dir)))
+    return rows.select("book_id", "item_id", *quality.STATISTICS[:5]).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_statistics, p5_measures)}
+
+# white space, horizontal white space, letters without digits, what words are made of
+_W = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_H = _W.replace(r"\x09-\x0d", r"\x09\x0b-\x0d")
+_L, _A = r"[\pL\p{Nl}\p{No}]", r"[\pL\pN\pM]"
+_SPACED_HEAD = rf"(?m)^[{_H}]*(?:\p{{Nd}}{{1,4}}[{_H}]+)?(?:{_L}[{_H}]+){{5,}}{_L}(?:[{_H}]*\|?[{_H}]*\p{{Nd}}{{1,4}})?[{_H}]*$\n?"
+# Frequent function words.
+_COMMON = "a after an and any are as at be before but by can each every for from has have if in into is it its may more must never not on only or than that the their then they this to too unless until when which who will with without you your"
+_COMMON_LIST = "[" + ", ".join(f"'{w}'" for w in _COMMON.split()) + "]"
+
+ORACLES = {
+    "p5_measures": rf"""WITH t AS (SELECT book_id, block_id AS item_id, text FROM blocks WHERE type = 'text' UNION ALL SELECT book_id, section_id, text FROM sections),
+b AS (SELECT book_id, item_id, regexp_replace(regexp_replace(text, '<<<HEADING:[^\n]*?>>>[{_W}]*', '', 'g'), '{_SPACED_HEAD}', '', 'g') AS t FROM t WHERE regexp_matches(text, '\S')),
+n AS (SELECT book_id, item_id, len(list_filter(regexp_split_to_array(t, '[{_W}]+'), lambda w: regexp_matches(w, '[\pL\pN]')))::BIGINT AS words, length(regexp_replace(t, '[^\pL\pN\pM]', '', 'g')) AS alnum, length(regexp_replace(t, '[{_W}]', '', 'g')) AS ink,
+  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^{_W}]')) AS lines,
+  len(list_filter(regexp_extract_all(t, '{_A}+'), lambda w: list_contains({_COMMON_LIST}, lower(w)))) AS common FROM b)
+SELECT DISTINCT book_id, item_id, words AS word_count, CASE WHEN words > 0 THEN alnum::DOUBLE / words END AS mean_word_length, CASE WHEN ink > 0 THEN (ink - alnum)::DOUBLE / ink END AS symbol_ratio,
+  CASE WHEN len(lines) > 0 THEN len(list_filter(lines, lambda l: regexp_matches(l, '[.!?…][{_W}"''”’»)]*\z')))::DOUBLE / len(lines) END AS punctuated_lines, CASE WHEN words > 0 THEN common::DOUBLE / words WHEN ink > 0 THEN 0 END AS common_words FROM n""",
+}
