@@ -62,7 +62,8 @@ def join_hyphens(c: Column) -> Column:
 
     One pass over look-around is the fixed point of joining pair by pair.
     """
-    return F.regexp_replace(c, rf"(?<={WC})-{WS}+(?=[a-z])", "")
+    # the hyphen first, so that what stands before it is looked at only there
+    return F.regexp_replace(c, rf"-(?<={WC}-){WS}+(?=[a-z])", "")
 
 
 def normalize_space(c: Column) -> Column:

@@ -101,7 +101,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
         return df
     size = 0
     for f in df.inputFiles():

@@ -16,9 +16,9 @@ def test_small_queries_against_duckdb(spark):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "region", "nation", "book_tocs", "extracted_tables"):
+    for t in ("documents", "region", "nation", "blocks", "book_tocs", "extracted_tables"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    for name in ("reading_order", "overlap_pairs", "toc_pipeline", "p3_found"):
+    for name in ("reading_order", "overlap_pairs", "toc_pipeline", "toc_json", "assign_order", "table_extract", "book_outline", "book_sections", "p3_found"):
         got = entry.queries()[name](spark, sf)
         columns = sorted(got.columns)
         want = con.execute(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
