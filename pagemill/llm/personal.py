@@ -223,6 +223,8 @@ _BEFORE_NUMBER, _AFTER_NUMBER = 160, 80
 _GROUPED = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b|(?<![\w+.-])\d{4}(?:[ -]\d{4}){3}(?![\w-])")
 # stretches of signs that hold digits enough for a telephone or identity number
 _MANY_DIGITS = re.compile(r"\d(?:[A-Z ()./\n,-]{0,8}\d){3,}")
+# results of dice and other ranges: an en dash between small numbers sets no telephone number
+_RANGE = re.compile(r"(?<!\d)\d{1,2}\s*–\s*\d{1,2}(?!\d)")
 _NO_PHONE = re.compile(r"(?:isbn|product\s+code|item|file|grid|printed|ref\w*|order|code|listed\s+under|table|page|no|nr)[\s.:#]*$", re.I)
 
 # Forms of address, and words that begin names of places.
@@ -380,6 +382,9 @@ def mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
                     before = t[max(0, m.start() - 40) : m.start()]
                     if not 7 <= digits <= 20 or _NO_PHONE.search(before) or (need and not _CALL.search(before)):
                         continue
+                    x, y = view.source(*m.span())
+                    if _RANGE.search(text, x, y):
+                        continue
                     add("phone", *m.span())
     for a, b in _names(t, names):
         add("name", a, b)

@@ -84,6 +84,7 @@ def test_name(name):
         "Garrod the Elder met Hessa of the Nine Keys. Rose petals cost 555 sp. Grace the dancer waits.",
         "Hugo's stag and Petra's ladder are listed under 21 029 55. Roll d100: 01-05 a hag, 06-40 nothing.",
         "Herr Ashbrandt came at dot.",
+        "Bonus by level: +12 13–15 +14\n16–20 +18 01–05 7",
         "",
     ],
 )
