@@ -79,13 +79,13 @@ _COMMON = """
 extent AS (SELECT doc_id, page_index, max(x1) AS max_x, max(y1) AS max_y FROM spans GROUP BY ALL),
 in_columns AS (SELECT s.*, least(floor((x0 + x1)::DOUBLE / 2 * {n} / max_x)::INT, {n} - 1) AS col_idx FROM spans s JOIN extent USING (doc_id, page_index)),
 ordered AS (SELECT * EXCLUDE (col_idx), (row_number() OVER (PARTITION BY doc_id, page_index ORDER BY col_idx, y0, x0, region_idx) - 1)::INT AS seq FROM in_columns)"""
-_ORDER = f"WITH {fx.SPANS}, {_COMMON.format(n=2)}"
-_PAIRS = f"""{_ORDER}, {fx.LAYOUT},
+ORDERED = f"WITH {fx.SPANS}, {_COMMON.format(n=2)}"
+PAIRS = f"""{ORDERED}, {fx.LAYOUT},
 pairs AS (SELECT s.doc_id, s.page_index, s.region_idx, r.layout_idx, r.label FROM spans s JOIN layout r ON s.doc_id = r.doc_id AND s.page_index = r.page_index
   AND least(s.x1, r.x1) > greatest(s.x0, r.x0) AND least(s.y1, r.y1) > greatest(s.y0, r.y0)
   AND ((least(s.x1, r.x1) - greatest(s.x0, r.x0)) * (least(s.y1, r.y1) - greatest(s.y0, r.y0)))::DOUBLE / greatest((s.x1 - s.x0) * (s.y1 - s.y0), 1) >= 0.3e0),
 firsts AS (SELECT doc_id, region_idx, arg_min(label, layout_idx) AS label, min(CASE WHEN label = 'table' THEN layout_idx END) AS table_idx FROM pairs GROUP BY ALL)"""
-_KINDS = f"""{_PAIRS},
+_KINDS = f"""{PAIRS},
 near AS (SELECT o.*, f.label, f.table_idx, lag(size) OVER w AS prev_size, lead(size) OVER w AS next_size FROM ordered o LEFT JOIN firsts f USING (doc_id, region_idx) WINDOW w AS (PARTITION BY doc_id, page_index ORDER BY seq)),
 kinds AS (SELECT *, CASE WHEN label IN ({_quoted(NOISE_LABELS)}) THEN 'noise' WHEN label IN ({_quoted(TITLE_LABELS)}) THEN 'title' WHEN table_idx IS NOT NULL THEN 'table'
   WHEN size > 9e0 AND prev_size IS DISTINCT FROM size AND next_size IS DISTINCT FROM size THEN 'title' ELSE 'prose' END AS kind FROM near),
@@ -152,11 +152,11 @@ ORACLES = {
     + f" FROM spans WHERE {strip('text')} <> ''",
     "ocr_scale": f"WITH {fx.SPANS} SELECT doc_id, region_idx, " + ", ".join(f"trunc({c} * 0.24e0 * (300e0 / 72e0))::INT AS {c}" for c in ("x0", "y0", "x1", "y1")) + " FROM spans",
     "layout_filter": f"WITH {fx.RAW_LAYOUT} SELECT * FROM raw_layout WHERE confidence >= 0.8e0 OR label IN ({_quoted(NOISE_LABELS)})",
-    "page_extent": f"{_ORDER} SELECT * FROM extent",
-    "norm_boxes": f"{_ORDER} SELECT doc_id, page_index, region_idx, " + ", ".join(f"trunc({c}::DOUBLE / {'max_x' if c[0] == 'x' else 'max_y'} * 1000)::INT AS n{c}" for c in ("x0", "y0", "x1", "y1")) + " FROM spans JOIN extent USING (doc_id, page_index)",
+    "page_extent": f"{ORDERED} SELECT * FROM extent",
+    "norm_boxes": f"{ORDERED} SELECT doc_id, page_index, region_idx, " + ", ".join(f"trunc({c}::DOUBLE / {'max_x' if c[0] == 'x' else 'max_y'} * 1000)::INT AS n{c}" for c in ("x0", "y0", "x1", "y1")) + " FROM spans JOIN extent USING (doc_id, page_index)",
     "column_assign": f"WITH {fx.SPANS}, {_COMMON.format(n=3)} SELECT doc_id, region_idx, col_idx FROM in_columns",
-    "reading_order": f"{_ORDER} SELECT doc_id, page_index, region_idx, seq FROM ordered",
-    "model_inputs": f"""{_ORDER}, b AS (SELECT doc_id, page_index, region_idx, concat_ws(',', trunc(x0::DOUBLE / max_x * 1000)::INT, trunc(y0::DOUBLE / max_y * 1000)::INT, trunc(x1::DOUBLE / max_x * 1000)::INT, trunc(y1::DOUBLE / max_y * 1000)::INT) AS box FROM spans JOIN extent USING (doc_id, page_index))
+    "reading_order": f"{ORDERED} SELECT doc_id, page_index, region_idx, seq FROM ordered",
+    "model_inputs": f"""{ORDERED}, b AS (SELECT doc_id, page_index, region_idx, concat_ws(',', trunc(x0::DOUBLE / max_x * 1000)::INT, trunc(y0::DOUBLE / max_y * 1000)::INT, trunc(x1::DOUBLE / max_x * 1000)::INT, trunc(y1::DOUBLE / max_y * 1000)::INT) AS box FROM spans JOIN extent USING (doc_id, page_index))
 SELECT doc_id, page_index, '0,' || string_agg('3', ',') || ',2' AS input_ids, '1,' || string_agg('1', ',') || ',1' AS attention_mask, '0,0,0,0;' || string_agg(box, ';' ORDER BY region_idx) || ';0,0,0,0' AS bbox FROM b GROUP BY ALL""",
     "assign_collisions": f"""WITH {fx.SCORES}, best AS (SELECT doc_id, page_index, "row", arg_max(col, score * 1000000 + col) AS position FROM scores GROUP BY ALL)
 SELECT doc_id, page_index, position, string_agg("row"::VARCHAR, ',' ORDER BY "row") AS rows FROM best GROUP BY ALL HAVING count(*) > 1""",
@@ -165,12 +165,12 @@ SELECT doc_id, page_index, position, string_agg("row"::VARCHAR, ',' ORDER BY "ro
 picks AS (SELECT doc_id, page_index, l[1] AS x, list_filter(l, lambda y: y // 65536 <> l[1] // 65536 AND y % 65536 <> l[1] % 65536) AS l FROM sorted
   UNION ALL SELECT doc_id, page_index, l[1], list_filter(l, lambda y: y // 65536 <> l[1] // 65536 AND y % 65536 <> l[1] % 65536) FROM picks WHERE len(l) > 0)
 SELECT doc_id, page_index, (x // 65536)::INT AS region_idx, (x % 65536)::INT AS position FROM picks""",
-    "overlap_pairs": f"{_PAIRS} SELECT * FROM pairs",
-    "first_layout_match": f"{_PAIRS} SELECT doc_id, region_idx, f.label FROM spans LEFT JOIN firsts f USING (doc_id, region_idx)",
-    "first_table_match": f"{_PAIRS} SELECT doc_id, region_idx, table_idx FROM firsts WHERE table_idx IS NOT NULL",
-    "toc_content_semi": f"{_PAIRS} SELECT doc_id, region_idx, text FROM spans WHERE (doc_id, region_idx) IN (SELECT (doc_id, region_idx) FROM pairs WHERE label = 'content')",
+    "overlap_pairs": f"{PAIRS} SELECT * FROM pairs",
+    "first_layout_match": f"{PAIRS} SELECT doc_id, region_idx, f.label FROM spans LEFT JOIN firsts f USING (doc_id, region_idx)",
+    "first_table_match": f"{PAIRS} SELECT doc_id, region_idx, table_idx FROM firsts WHERE table_idx IS NOT NULL",
+    "toc_content_semi": f"{PAIRS} SELECT doc_id, region_idx, text FROM spans WHERE (doc_id, region_idx) IN (SELECT (doc_id, region_idx) FROM pairs WHERE label = 'content')",
     "crop_boxes": f"WITH {fx.LAYOUT} SELECT doc_id, layout_idx, greatest(0, x0 - 8) AS crop_x0, greatest(0, y0 - 8) AS crop_y0, least(1500, x1 + 8) AS crop_x1, least(900, y1 + 8) AS crop_y1 FROM layout WHERE label = 'table'",
-    "font_neighbors": f"{_ORDER} SELECT doc_id, region_idx, seq, lag(size) OVER w AS prev_size, lead(size) OVER w AS next_size FROM ordered WINDOW w AS (PARTITION BY doc_id, page_index ORDER BY seq)",
+    "font_neighbors": f"{ORDERED} SELECT doc_id, region_idx, seq, lag(size) OVER w AS prev_size, lead(size) OVER w AS next_size FROM ordered WINDOW w AS (PARTITION BY doc_id, page_index ORDER BY seq)",
     "classify_regions": f"{_KINDS} SELECT doc_id, region_idx, seq, kind FROM kinds",
     "title_carry": f"{_KINDS} SELECT doc_id, region_idx, seq, title FROM titled",
     "assemble_blocks": f"""{_BLOCKS} SELECT doc_id, printf('%s_%d_%05d', CASE type WHEN 'text' THEN 'blk' ELSE 'tbl' END, page, order_id) AS block_id, order_id, page, type, CASE type WHEN 'text' THEN words END AS text, title,
@@ -216,7 +216,7 @@ SELECT doc_id, '[' || string_agg(node || CASE WHEN following > depth THEN '' WHE
 FROM (SELECT block_id, answer, r, unnest(['A', 'B']) AS c FROM (SELECT block_id, answer, unnest(range(2)) AS r FROM answers WHERE page % 5 = 0))""",
     "resume_anti": f"WITH {fx.BLOCKS} SELECT block_id, page, order_id, CASE page % 2 WHEN 0 THEN 'before' ELSE 'now' END AS made FROM blocks_in",
     "blocks_roundtrip": f"WITH {fx.BLOCKS} SELECT * FROM blocks_in",
-    "overlay_order": f"""{_ORDER} SELECT s.doc_id, s.region_idx, o.seq::VARCHAR AS label, CASE WHEN o.seq IS NOT NULL THEN trunc((s.x0 + s.x1) / 2e0)::INT - 10 END AS label_x, CASE WHEN o.seq IS NOT NULL THEN trunc((s.y0 + s.y1) / 2e0)::INT + 10 END AS label_y
+    "overlay_order": f"""{ORDERED} SELECT s.doc_id, s.region_idx, o.seq::VARCHAR AS label, CASE WHEN o.seq IS NOT NULL THEN trunc((s.x0 + s.x1) / 2e0)::INT - 10 END AS label_x, CASE WHEN o.seq IS NOT NULL THEN trunc((s.y0 + s.y1) / 2e0)::INT + 10 END AS label_y
 FROM spans s LEFT JOIN (SELECT * FROM ordered WHERE seq % 3 <> 1) o USING (doc_id, region_idx)""",
     "overlay_layout": f"""WITH {fx.LAYOUT} SELECT doc_id, layout_idx, concat_ws(';', x0 || ',' || y0, x1 || ',' || y0, x1 || ',' || y1, x0 || ',' || y1) AS polygon,
   ((dense_rank() OVER (PARTITION BY doc_id, page_index ORDER BY label) - 1) % 20)::INT AS palette_index, printf('%s (%.2f)', label, confidence) AS label_text, x0 AS label_x, greatest(10, y0 - 5) AS label_y FROM layout""",

@@ -209,8 +209,15 @@ def section_headings(spark, sf_dir):
     return sections.mark_headings(_text_blocks(spark, sf_dir)).select("block_id", "is_heading", "text")
 
 
+def section_table(spark, sf_dir):
+    return sections.sections(_text_blocks(spark, sf_dir))
+
+
 def section_rows(spark, sf_dir):
-    rows = sections.sections(_text_blocks(spark, sf_dir))
+    return flat_sections(section_table(spark, sf_dir))
+
+
+def flat_sections(rows):
     return rows.select("section_id", _joined("toc"), _joined("headings"), "text", _numbers("pages"), _joined("block_ids"))
 
 

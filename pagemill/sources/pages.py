@@ -19,6 +19,10 @@ from pagemill.functions.text import is_blank, strip
 from pagemill.schema import NOISE_LABELS
 
 
+#: Bytes of page images a worker holds before it hands them on.
+BATCH_BYTES = 32 << 20
+
+
 class Renderer(Protocol):
     def page_count(self, content: bytes) -> int: ...
 
@@ -35,7 +39,7 @@ def render_pages(files: DataFrame, renderer: Callable[[], Renderer], done: DataF
     """Pages with size and image bytes from (doc_id, content). Pages in ``done`` (doc_id, page_index) come without.
 
     A file goes to the workers once for each ``range_pages`` pages that have any page to render, and a
-    worker opens it for that range and gives its pages one by one.
+    worker opens it for that range and hands on its pages before they exceed ``BATCH_BYTES`` by more than one.
     """
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,13 +56,20 @@ def render_pages(files: DataFrame, renderer: Callable[[], Renderer], done: DataF
         cached = manifest.join(done.select("doc_id", "page_index").distinct(), ["doc_id", "page_index"], "left_semi")
 
     def render(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one = None
+        one, rows, size = None, [], 0
+        names = ["doc_id", "page_index", "dpi", "image_path", "width", "height", "image"]
         for pdf in parts:
             for doc, content, pages in zip(pdf["doc_id"], pdf["content"], pdf["_pages"], strict=True):
                 one = one or renderer()
                 for page, path in sorted((p["page_index"], p["image_path"]) for p in pages):
                     width, height, image = one.render(content, page, dpi)
-                    yield pd.DataFrame({"doc_id": [doc], "page_index": [page], "dpi": [dpi], "image_path": [path], "width": [width], "height": [height], "image": [image]})
+                    rows.append((doc, page, dpi, path, width, height, image))
+                    size += len(image)
+                    if size >= BATCH_BYTES or len(rows) >= 1000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     ranges = due.groupBy("doc_id", F.floor(F.col("page_index") / range_pages).alias("_range")).agg(F.collect_list(F.struct("page_index", "image_path")).alias("_pages"))
     fresh = files.select("doc_id", "content").join(ranges, "doc_id").mapInPandas(render, "doc_id bigint, page_index int, dpi int, image_path string, width int, height int, image binary")
