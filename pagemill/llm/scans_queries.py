@@ -66,14 +66,27 @@ def p4_blocks(spark, sf_dir):
     return _repaired_blocks(spark, sf_dir).select("book_id", "block_id", F.col("repaired").alias("text"))
 
 
-def p4_sections(spark, sf_dir):
-    """Every section as continuous paragraphs."""
+def _repaired_sections(spark, sf_dir):
     sections = table(spark, sf_dir, "sections")
     entries = sections.groupBy("book_id", "section_id").agg(F.collect_set(F.try_element_at("toc", F.lit(1))).alias("entries"))
     lexicon, rules = _tools(spark, sf_dir)
     rows = _with_heads(spark, sf_dir, sections.select("book_id", "section_id", "text", "pages"), "section_id", entries, rules)
-    return repair_texts(rows, lexicon, rules, kinds="kind").select("book_id", "section_id", F.col("repaired").alias("text"))
+    return repair_texts(rows, lexicon, rules, kinds="kind")
+
+
+def p4_sections(spark, sf_dir):
+    """Every section as continuous paragraphs."""
+    return _repaired_sections(spark, sf_dir).select("book_id", "section_id", F.col("repaired").alias("text"))
+
+
+def p4_compared(spark, sf_dir):
+    """For each noise the number of sections that have it by their blocks, by their own texts, and by both."""
+    own = _repaired_sections(spark, sf_dir).select("book_id", F.col("section_id").alias("item_id"), F.explode("noises").alias("noise")).distinct().withColumn("own", F.lit(1))
+    sections = table(spark, sf_dir, "sections").select("book_id", F.col("section_id").alias("item_id")).distinct()
+    by_blocks = p4_found(spark, sf_dir).join(sections, ["book_id", "item_id"], "left_semi").withColumn("blocks", F.lit(1))
+    both = by_blocks.join(own, ["book_id", "item_id", "noise"], "full")
+    return both.groupBy("noise").agg(F.count("blocks").alias("by_blocks"), F.count("own").alias("by_text"), F.count(F.col("blocks") + F.col("own")).alias("by_both"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_blocks, p4_sections)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_blocks, p4_sections, p4_compared)}
 ORACLES: dict[str, str] = {}
