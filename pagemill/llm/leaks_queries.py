@@ -46,6 +46,12 @@ def _words(c: str) -> str:
 
 
 ORACLES = {
+    "p7_longest": f"""WITH d AS (SELECT DISTINCT doc_id, {_words('text')} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM eval_items WHERE text IS NOT NULL),
+dw AS (SELECT doc_id, k, array_to_string(w[k:k + 11], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d)),
+iw AS (SELECT item_id, k, array_to_string(w[k:k + 11], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
+hits AS (SELECT doc_id, item_id, dw.k AS k, dw.k - iw.k AS shift FROM dw JOIN iw USING (s)),
+runs AS (SELECT doc_id, item_id, shift, k - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY k) AS island FROM hits)
+SELECT doc_id, item_id, (max(n) + 11)::INT AS longest FROM (SELECT doc_id, item_id, count(*) AS n FROM runs GROUP BY doc_id, item_id, shift, island) GROUP BY ALL""",
     "p7_found": f"""WITH d AS (SELECT DISTINCT doc_id, {_words('text')} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM eval_items WHERE text IS NOT NULL),
 dw AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d)),
 iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i))

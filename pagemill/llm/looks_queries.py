@@ -19,13 +19,18 @@ def p2_classes(spark, sf_dir):
     return look_classes(table(spark, sf_dir, "blocks"))
 
 
+def p2_links(spark, sf_dir):
+    """The number of links of every member of a class, by its book, block and field."""
+    return look_classes(table(spark, sf_dir, "blocks")).select("book_id", "block_id", "field", "n_members", "n_links")
+
+
 def p2_blocks(spark, sf_dir):
     """Every block with text and title in their one form."""
     blocks = table(spark, sf_dir, "blocks").select("book_id", "block_id", "text", "title").dropDuplicates(["book_id", "block_id"])
     return blocks.select("book_id", "block_id", same_look(F.col("text")).alias("text"), same_look(F.col("title")).alias("title"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_blocks)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p2_links, p2_blocks)}
 
 
 def _apart(ch: str) -> str:
@@ -54,8 +59,11 @@ def form_sql(c: str) -> str:
     return f"CASE WHEN regexp_matches({c}, '[^\\t\\n\\x20-\\x7e]') THEN nfc_normalize(array_to_string(list_transform({pieces}, lambda x: coalesce({table}[x], x)), '')) ELSE {c} END"
 
 
+_FORMS = f"""WITH v AS (SELECT DISTINCT book_id, block_id, 'text' AS field, text AS raw FROM blocks UNION SELECT DISTINCT book_id, block_id, 'title', title FROM blocks),
+f AS (SELECT *, {form_sql('raw')} AS form FROM v WHERE raw IS NOT NULL), x AS (SELECT * FROM f WHERE regexp_matches(form, '\\S'))"""
 ORACLES = {
-    "p2_found": f"""WITH v AS (SELECT DISTINCT book_id, block_id, 'text' AS field, text AS raw FROM blocks UNION SELECT DISTINCT book_id, block_id, 'title', title FROM blocks),
-f AS (SELECT *, {form_sql('raw')} AS form FROM v WHERE raw IS NOT NULL), x AS (SELECT * FROM f WHERE regexp_matches(form, '\\S'))
+    "p2_links": f"""{_FORMS}, c AS (SELECT book_id, field, form, count(*) AS n_members FROM x GROUP BY ALL HAVING count(DISTINCT raw) > 1), r AS (SELECT book_id, field, form, raw, count(*) AS n FROM x GROUP BY ALL)
+SELECT x.book_id, x.block_id, x.field, c.n_members, c.n_members - r.n AS n_links FROM x JOIN c USING (book_id, field, form) JOIN r USING (book_id, field, form, raw)""",
+    "p2_found": f"""{_FORMS}
 SELECT DISTINCT a.book_id, a.block_id AS block_id_a, b.block_id AS block_id_b, a.field FROM x a JOIN x b ON a.book_id = b.book_id AND a.field = b.field AND a.form = b.form AND a.block_id < b.block_id AND a.raw <> b.raw""",
 }
