@@ -24,6 +24,7 @@ other columns are carried, one with the name of an added column as ``<name>_inpu
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -98,6 +99,20 @@ def _look(m: re.Match) -> str:
     return form
 
 
+# characters met so far that stay as they are, and others; marks and undrawn ones count with the others
+_SAME: set[str] = {chr(c) for c in range(0x20, 0x7F)} | {"\t", "\n"}
+_OTHER: set[str] = set()
+
+
+def _changes(text: str) -> bool:
+    """Whether any character of a text may become another."""
+    chars = set(text)
+    for ch in chars - _SAME - _OTHER:
+        stays = unicodedata.category(ch)[0] not in "MC" and ch not in _DASHES and canonical(ch) == ch
+        (_SAME if stays else _OTHER).add(ch)
+    return not chars.isdisjoint(_OTHER)
+
+
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _THREE = b"\x01" * 3
 _SPELLED = re.compile(rf"\b(?:{_WORD})(?:[\s,-]+(?:{_WORD})){{4,}}\b", re.I)
@@ -138,7 +153,7 @@ def _undisguise(m: re.Match) -> str:
 def plain(text: str) -> Plain:
     """The source through all transducers."""
     out = Plain(text)
-    if not text.isascii():
+    if _changes(text):
         out = out.rewrite(_ODD, _look)
     # of five words for digits in a row the inner three have nothing but separators around them: few texts have such
     words = out.text.lower().replace(",", " ").replace("-", " ").split()
