@@ -320,15 +320,13 @@ def build_lexicon(texts: DataFrame, text: str = "text", share: float = 1e-5, kno
     # the bounds need the total of all words, so the counts are read more than once and made once
     every = materialize(total_of.where("n >= 2"), "lexicon")
     total = every.where("w is not null").agg(F.sum("n")).first()[0] or 0
-    n = lambda least, of: F.col("n") >= max(least, of * total)
-    rows = every.where(F.col("w").isNotNull() & n(3, share)).select("w", "n").toArrow()
-    words = {w: c for w, c in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True) if _WORD.fullmatch(w)}
-
-    def hashed(is_word: bool, of: float) -> Counts:
-        found = every.where((F.col("w").isNotNull() == is_word) & n(2, of)).select("h", F.least("n", F.lit(2**32 - 1)).alias("n")).toArrow()
-        return Counts(found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy().astype(np.uint32))
-
-    return Lexicon(words, hashed(False, pair_share), hashed(True, known_share), plain_edits=plain_edits, least=max(5, int(3 * share * total)))
+    word = F.col("w").isNotNull()
+    often = lambda least, of: F.col("n") >= max(least, of * total)
+    kept = every.where((word & often(2, known_share)) | (~word & often(2, pair_share)))
+    rows = kept.select(F.when(often(3, share), F.col("w")).alias("w"), word.alias("word"), "h", F.least("n", F.lit(2**32 - 1)).alias("n")).toArrow()
+    words = {w: n for w, n in zip(rows.column("w").to_pylist(), rows.column("n").to_pylist(), strict=True) if w is not None and _WORD.fullmatch(w)}
+    hashes, n, is_word = rows.column("h").to_numpy().view(np.uint64), rows.column("n").to_numpy().astype(np.uint32), rows.column("word").to_numpy()
+    return Lexicon(words, Counts(hashes[~is_word], n[~is_word]), Counts(hashes[is_word], n[is_word]), plain_edits=plain_edits, least=max(5, int(3 * share * total)))
 
 
 def _fold(text: str) -> tuple[str, list[int]]:
