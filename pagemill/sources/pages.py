@@ -10,8 +10,10 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import schema
 from pagemill.functions.geometry import to_pixels
@@ -155,3 +157,45 @@ def require_images(pages: DataFrame, images: DataFrame) -> DataFrame:
     missing = F.col("image").isNull() | (F.length("image") == 0)
     checked = F.when(missing, F.raise_error(F.concat(F.lit("no image at "), "image_path"))).otherwise(F.col("image"))
     return joined.withColumn("image", checked)
+
+
+def load_images(pages: DataFrame, root: str, spend: bool = False) -> DataFrame:
+    """Pages with their image, each read from its ``image_path`` under ``root``, of the file systems of ``records.put_images``.
+
+    A page whose image is missing or empty ends the query with its path. The files are opened by the workers
+    by their names: no folder is listed, and neither images nor pages are shuffled. A worker hands on images
+    before they exceed ``BATCH_BYTES`` by more than one.
+
+    With ``spend``, for rows as ``put_images(apart=True)`` hands them on, the first folder of ``image_path`` is
+    deleted when the rows go on to another: the disk holds a few batches of files, however many pages there are.
+    """
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(root)
+        base, last = base.rstrip("/"), None
+        for batch in batches:
+            images, size, done = [], 0, 0
+            for path in batch.column("image_path").to_pylist():
+                try:
+                    with files.open_input_file(f"{base}/{path}") as one:
+                        image = one.readall()
+                except FileNotFoundError:
+                    image = b""
+                if not image:
+                    raise FileNotFoundError(f"no image at {path}")
+                if spend and (first := path.partition("/")[0]) != last:
+                    if last:
+                        files.delete_dir(f"{base}/{last}")
+                    last = first
+                images.append(image)
+                size += len(image)
+                if size >= BATCH_BYTES or done + len(images) == batch.num_rows:
+                    part = batch.slice(done, len(images))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(images, pa.binary())], names=[*batch.schema.names, "image"])
+                    images, size, done = [], 0, done + len(images)
+        if last:
+            files.delete_dir(f"{base}/{last}")
+
+    return pages.mapInArrow(load, T.StructType([*pages.schema.fields, T.StructField("image", T.BinaryType())]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -65,34 +66,51 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def write_images(images: DataFrame, root: str) -> None:
-    """Writes (image_path, image) as files under a folder that all workers reach; rows without image are left out.
+def put_images(images: DataFrame, root: str, apart: bool = False) -> DataFrame:
+    """``images`` without ``image``, each row handed on when its file is there; rows without image are left out.
+
+    ``image_path`` is the file's place under ``root``, a folder that all workers reach: a path or a URI of any
+    file system Arrow knows (``file``, ``hdfs``, ``s3``, ``gs`` ...). Each file appears whole: it is written
+    beside its place and moved there. Nothing is written before the rows are asked for.
 
-    ``root`` is a path or a URI of any file system Arrow knows (``file``, ``hdfs``, ``s3``, ``gs`` ...).
-    Each file appears whole: it is written beside its place and moved there.
+    ``apart`` gives every batch of rows a folder of its own, which no other task or attempt has and which
+    ``image_path`` then begins with, for files that are read once by ``pages.load_images``. Such files are
+    known to nobody before their rows are handed on, so they are written at their place.
     """
+    rest = [f for f in images.schema.fields if f.name != "image"]
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         from pyarrow import fs
 
         files, base = fs.FileSystem.from_uri(root)
+        own = uuid.uuid4().hex  # no other task has it, nor another attempt at this one
         there: set[str] = set()
-        for batch in batches:
-            for path, image in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for k, batch in enumerate(batches):
+            paths = batch.column("image_path").to_pylist()
+            if apart:
+                paths = [f"{own}-{k}/{p}" for p in paths]
+            for path, image in zip(paths, batch.column("image"), strict=True):
                 place = f"{base.rstrip('/')}/{path}"
                 folder, _, name = place.rpartition("/")
                 if folder not in there:
                     files.create_dir(folder, recursive=True)
                     there.add(folder)
-                beside = f"{folder}/.{name}.{uuid.uuid4().hex}"
-                with files.open_output_stream(beside) as out:
+                at = place if apart else f"{folder}/.{name}.{own}"
+                with files.open_output_stream(at) as out:
                     out.write(image.as_buffer())
-                files.move(beside, place)
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+                if not apart:
+                    files.move(at, place)
+            if apart:
+                there.clear()
+            columns = [pa.array(paths, pa.string()) if f.name == "image_path" else batch.column(f.name) for f in rest]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in rest])
 
-    images.where("image is not null").select("image_path", "image").mapInArrow(put, "n bigint").write.format("noop").mode("overwrite").save()
+    return images.where("image is not null").mapInArrow(put, T.StructType(rest))
+
+
+def write_images(images: DataFrame, root: str) -> None:
+    """Writes (image_path, image) as files under a folder that all workers reach, as :func:`put_images` does."""
+    put_images(images.select("image_path", "image"), root).write.format("noop").mode("overwrite").save()
 
 
 def crop_images(boxes: DataFrame, pages: DataFrame, cropper) -> DataFrame:

@@ -89,3 +89,33 @@ def test_stream_gives_the_blocks_of_the_batch(spark, tmp_path):
     want = assemble(spans, layout).select("block_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
     assert stream.refresh_sections(stream.current_blocks(spark, target), spark.createDataFrame([(1,)], "doc_id bigint")).count() >= 1
+
+
+def _images(spark, n):
+    rows = [(d, p, f"doc_{d}/pages/page_{p:04d}.png", bytearray(f"{d}.{p}".encode())) for d in range(1, n + 1) for p in range(3)]
+    return spark.createDataFrame([*rows, (n, 9, f"doc_{n}/pages/none.png", None)], "doc_id bigint, page_index int, image_path string, image binary")
+
+
+def test_images_are_read_where_they_were_put(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pages, "BATCH_BYTES", 5)
+    got = pages.load_images(records.put_images(_images(spark, 4), str(tmp_path)), str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.page_index, bytes(r.image).decode()) for r in got) == [(d, p, f"{d}.{p}") for d in range(1, 5) for p in range(3)]
+    assert {r.image_path for r in got} == {str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()}
+    (tmp_path / "doc_2/pages/page_0001.png").unlink()
+    known = _images(spark, 4).where("image is not null").drop("image")
+    with pytest.raises(Exception, match="no image at doc_2/pages/page_0001.png"):
+        pages.load_images(known, str(tmp_path)).collect()
+
+
+def test_images_read_once_leave_nothing(spark, tmp_path):
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 4)  # documents lie across batches
+    try:
+        through = pages.load_images(records.put_images(_images(spark, 9).coalesce(2), str(tmp_path), apart=True), str(tmp_path), spend=True)
+        for _ in range(2):  # the frame may be asked again
+            got = through.collect()
+            assert sorted((r.doc_id, r.page_index, bytes(r.image).decode()) for r in got) == [(d, p, f"{d}.{p}") for d in range(1, 10) for p in range(3)]
+            assert not [*tmp_path.iterdir()]
+    finally:
+        spark.conf.set(batch, before)
