@@ -121,7 +121,7 @@ class Lexicon:
         self.memo: dict[str, list[tuple[int, str]]] = {}
         self.plain_memo: dict[str, list[str]] = {}
         self.doubt: dict[str, int] = {}
-        self.pieces: dict[str, bool] = {}
+        self.pieces: set[str] = set()
         self.printed: dict[str, list[tuple[str, str]]] = {}
         for true, printed in CONFUSIONS:
             self.printed.setdefault(printed[0], []).append((printed, true))
@@ -228,13 +228,14 @@ class Lexicon:
                 self.doubt[word] = found
         return found
 
-    def odd(self, piece: str) -> bool:
-        """Whether a stretch without white space holds any word in doubt."""
-        found = self.pieces.get(piece)
-        if found is None:
-            found = any(self.doubtful(w) for w in _TOKEN.findall(piece))
-            if len(self.pieces) < 500_000:
-                self.pieces[piece] = found
+    def odd(self, text: str) -> list[str]:
+        """The stretches without white space that hold any word in doubt, each once."""
+        found = []
+        for piece in set(text.split()) - self.pieces:
+            if any(self.doubtful(w) for w in _TOKEN.findall(piece)):
+                found.append(piece)
+            elif len(self.pieces) < 500_000:
+                self.pieces.add(piece)
         return found
 
     def fits(self, candidate: str, word: str, before: str, after: str, sure: bool = False) -> bool:
@@ -329,15 +330,20 @@ def build_lexicon(texts: DataFrame, text: str = "text", share: float = 1e-5, kno
     return Lexicon(words, Counts(hashes[~is_word], n[~is_word]), Counts(hashes[is_word], n[is_word]), plain_edits=plain_edits, least=max(5, int(3 * share * total)))
 
 
+_FOLDED: dict[str, str] = {}
+
+
 def _fold(text: str) -> tuple[str, list[int]]:
     """Letters and digits in lower case without accents, and where they stand."""
     out, at = [], []
     for i, ch in enumerate(text):
-        if ch.isalnum():
-            for c in unicodedata.normalize("NFD", ch.lower()):
-                if c.isalnum():
-                    out.append(c)
-                    at.append(i)
+        folded = _FOLDED.get(ch)
+        if folded is None:
+            folded = "".join(c for c in unicodedata.normalize("NFD", ch.lower()) if c.isalnum()) if ch.isalnum() else ""
+            _FOLDED[ch] = folded
+        for c in folded:
+            out.append(c)
+            at.append(i)
     return "".join(out), at
 
 
@@ -427,18 +433,16 @@ _NUMBERS: dict[int, tuple[re.Pattern, ...]] = {}
 
 
 def _number_patterns(page: int) -> tuple[re.Pattern, ...]:
-    """Patterns of a page's number, compiled once: anywhere, marked, barred, before and after a head, alone, and bare."""
+    """Patterns of a page's number, compiled once: marked, barred, before and after a head, and alone."""
     found = _NUMBERS.get(page)
     if found is None:
         n = re.escape(str(page))
         found = (
-            re.compile(rf"(?<!\w){n}|{n}(?!\w)"),
             re.compile(rf"(?<![\w.])(?:[Pp]age|PAGE|[Pp]\.|P\.) {n}(?!\w)|\[{n}\]|(?:^|(?<=\s))[-–—] {n} [-–—](?=\s|$)", re.M),
             re.compile(rf"(?:^|(?<=\s)){n} \|(?=\s|$)|(?:^|(?<=\s))\| {n}(?=\s|$)", re.M),
             re.compile(rf"(?<!\w){n}[ \t|·–—-]*$"),
             re.compile(rf"[ \t|·–—-]*{n}(?![\w.])"),
             re.compile(rf"^[^\S\n]*{n}[^\S\n]*$", re.M),
-            re.compile(rf"(?<=\s){n}(?=\s)"),
         )
         if len(_NUMBERS) > 5_000:
             _NUMBERS.clear()
@@ -446,15 +450,38 @@ def _number_patterns(page: int) -> tuple[re.Pattern, ...]:
     return found
 
 
+def _part_of_word(ch: str) -> bool:
+    return ch.isalnum() or ch == "_"
+
+
 def find_page_numbers(text: str, page: int | None, heads: list[tuple[int, int]], lexicon: Lexicon, running: bool) -> list[tuple[int, int]]:
-    """Spans of the block's own page number printed as page number."""
-    if page is None or str(page) not in text:
+    """Spans of the block's own page number printed as page number.
+
+    The signs beside the number's places tell which patterns can match at all.
+    """
+    if page is None:
         return []
-    anywhere, marked, barred, before_head, after_head, alone, bare = _number_patterns(page)
-    if not anywhere.search(text):
+    n = str(page)
+    edge = mark = bar = False
+    between: list[int] = []  # places with white space, or nothing, on both sides
+    a = text.find(n)
+    while a >= 0:
+        b = a + len(n)
+        before, after = text[a - 1] if a else "", text[b : b + 1]
+        if not (_part_of_word(before) and _part_of_word(after)):
+            edge = True
+            if before == "[" or before == " " and a > 1 and text[a - 2] in "eE.-–—":
+                mark = True
+            if after == " " and text[b + 1 : b + 2] == "|" or before == " " and a > 1 and text[a - 2] == "|":
+                bar = True
+            if (not before or before.isspace()) and (not after or after.isspace()):
+                between.append(a)
+        a = text.find(n, a + 1)
+    if not edge:
         return []
-    out = [m.span() for m in marked.finditer(text)]
-    if running:
+    marked, barred, before_head, after_head, alone = _number_patterns(page)
+    out = [m.span() for m in marked.finditer(text)] if mark else []
+    if running and bar:
         # the number with a bar, at the start of a line or between words
         out += [m.span() for m in barred.finditer(text)]
     for a, b in heads:
@@ -462,9 +489,9 @@ def find_page_numbers(text: str, page: int | None, heads: list[tuple[int, int]],
             out.append((before.start(), a))
         if after := after_head.match(text[b:]):
             out.append((b, b + after.end()))
-    if running:
+    if running and between:
         out += [m.span() for m in alone.finditer(text) if not re.search(r":\s*$", text[: m.start()])]
-        out += [m.span() for m in bare.finditer(text) if _loose(text, m.start(), m.end(), lexicon)]
+        out += [(a, a + len(n)) for a in between if 0 < a < len(text) - len(n) and _loose(text, a, a + len(n), lexicon)]
     return _disjoint(out)
 
 
@@ -538,26 +565,34 @@ def _beside(text: str, a: int, b: int) -> tuple[str, str]:
 
 def correct_words(text: str, lexicon: Lexicon) -> tuple[str, int]:
     """Text with misread words corrected, and their number."""
-    if not any(map(lexicon.odd, set(text.split()))):
+    odd = lexicon.odd(text)
+    if not odd:
         return text, 0
     n = 0
-
-    def fix(m: re.Match) -> str:
-        nonlocal n
-        word = m.group()
+    places = []
+    for piece in odd:
+        a = text.find(piece)
+        while a >= 0:
+            b = a + len(piece)
+            if (not a or text[a - 1].isspace()) and (b == len(text) or text[b].isspace()):
+                places += [(a + m.start(), m.group()) for m in _TOKEN.finditer(piece)]
+            a = text.find(piece, b)
+    out, done = [], 0
+    for a, word in sorted(places):
         if not lexicon.doubtful(word):
-            return word
-        low = word.lower()
-        right = lexicon.correct(low, *_beside(text, m.start(), m.end()))
+            continue
+        right = lexicon.correct(word.lower(), *_beside(text, a, a + len(word)))
         if right is None:
-            return word
+            continue
         n += 1
         letters = [c for c in word if c.isalpha()]
         if len(letters) > 1 and all(c.isupper() for c in letters):
-            return right.upper()
-        return right.capitalize() if word[0].isupper() else right
-
-    return _TOKEN.sub(fix, text), n
+            right = right.upper()
+        elif word[0].isupper():
+            right = right.capitalize()
+        out += [text[done:a], right]
+        done = a + len(word)
+    return "".join([*out, text[done:]]), n
 
 
 def reflow(text: str) -> str:

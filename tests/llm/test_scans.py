@@ -234,3 +234,15 @@ def test_plain_edits_reach_the_workers(spark):
     rows = spark.createDataFrame([(1, "the old hous stands", None, None, None)], BLOCKS)
     for edits, want in ((0, "the old hous stands"), (1, "the old house stands")):
         assert scans.repair_texts(rows, _lexicon(CORPUS, plain_edits=edits), JUNK).first().repaired == want
+
+
+def test_only_pieces_in_doubt_are_taken_apart(lexicon, monkeypatch):
+    plain = "the first rule of storm " * 50
+    text = plain + "the storrn (storrn) storrns the (storrn)"
+    fixed = scans.correct_words(text, lexicon)
+    assert fixed == (plain + "the storm (storm) storrns the (storm)", 3)
+    asked = []
+    real = Lexicon.doubtful
+    monkeypatch.setattr(Lexicon, "doubtful", lambda self, word: asked.append(word) or real(self, word))
+    assert scans.correct_words(text, lexicon) == fixed
+    assert len(asked) < 20  # the words that stand aren't asked for again
